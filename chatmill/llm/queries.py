@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chatmill.llm.leakage import leaked_items
+from chatmill.llm.shared_spans import shared_fraction, shared_spans
 from chatmill.sources.tables import table
 
 
@@ -12,7 +13,15 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {"p9_found": p9_found}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return shared_spans(table(spark, sf, "documents"))
+
+
+def p10_shared_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    return shared_fraction(table(spark, sf, "documents"))
+
+
+QUERIES = {"p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
 
 SQL = {
     "p9_found": r"""
