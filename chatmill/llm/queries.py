@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatmill.llm.leakage import leaked_items
+from chatmill.llm.packing import pack, token_counts
 from chatmill.llm.shared_spans import shared_fraction, shared_spans
+from chatmill.llm.splitting import split_items
 from chatmill.sources.tables import table
 
 
@@ -21,9 +26,34 @@ def p10_shared_fraction(spark: SparkSession, sf: str) -> DataFrame:
     return shared_fraction(table(spark, sf, "documents"))
 
 
-QUERIES = {"p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+TOKENIZER = os.environ.get("CHATMILL_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    messages = split_items(table(spark, sf, "full_clean_messages"), ["chat_id", "msg_id"], "text_clean", 1200)
+    records = split_items(table(spark, sf, "jsonl_records"), ["rec_id"], "record", 4000, kind="json")
+    cols = ["piece_no", "piece_begin", "piece_end", "piece", "n_pieces"]
+    messages = messages.select(F.lit("full_clean_messages").alias("src"), "chat_id", F.col("msg_id").alias("item_id"), *cols)
+    return messages.unionByName(records.select(F.lit("jsonl_records").alias("src"), F.lit(0).cast("long").alias("chat_id"), F.col("rec_id").alias("item_id"), *cols))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(spark, sf).where("n_pieces > 1 and piece_no = 0").select("src", "chat_id", "item_id")
+
+
+def p6_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(spark, sf)
+
+
+def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(token_counts(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER))
+
+
+QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
 
 SQL = {
+    "p6_found": """SELECT 'full_clean_messages' AS src, chat_id, msg_id AS item_id FROM full_clean_messages WHERE length(text_clean) > 1200
+UNION ALL SELECT 'jsonl_records', CAST(0 AS BIGINT), rec_id FROM jsonl_records WHERE length(record) > 4000""",
     "p9_found": r"""
 WITH folded AS (
   SELECT 0 AS kind, doc_id AS id, text AS t FROM documents UNION ALL SELECT 1, item_id, body FROM eval_items),
