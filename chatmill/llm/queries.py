@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatmill.llm.conversations import rebuild_conversations
 from chatmill.llm.leakage import leaked_items
 from chatmill.llm.packing import pack, token_counts
 from chatmill.llm.shared_spans import shared_fraction, shared_spans
@@ -45,13 +46,35 @@ def p6_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return _split(spark, sf)
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return rebuild_conversations(table(spark, sf, "normalized_messages"))
+
+
+def p7_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return rebuild_conversations(table(spark, sf, "normalized_messages"), with_text=True)
+
+
 def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_counts(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER))
 
 
-QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+
+_CONVERSATIONS = r"""
+WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(unixtime) AS ts, min(coalesce(author_id_raw, '')) AS author, min(nullif(reply_to_id, 0)) AS r,
+  arg_min(coalesce(regexp_matches(text_raw, '[^\s\p{Z}\p{Cc}\p{Cf}\x{FE00}-\x{FE0F}\x{2800}\x{3164}\x{115F}\x{1160}\x{34F}]'), false), {'b': batch_id, 'i': ingested_at}) AS seen
+  FROM normalized_messages WHERE NOT coalesce(is_service, false) AND chat_id IS NOT NULL AND msg_id IS NOT NULL GROUP BY chat_id, msg_id),
+t AS (SELECT chat_id, msg_id, ts, author, seen, msg_id AS root_id, author AS asker, r IS NOT NULL AS gap, false AS early
+  FROM m WHERE r IS NULL OR NOT EXISTS (SELECT 1 FROM m b WHERE b.chat_id = m.chat_id AND b.msg_id = m.r)
+  UNION ALL SELECT m.chat_id, m.msg_id, m.ts, m.author, m.seen, t.root_id, t.asker, t.gap, m.ts < t.ts
+  FROM t JOIN m ON m.chat_id = t.chat_id AND m.r = t.msg_id),
+k AS (SELECT chat_id, root_id FROM t GROUP BY chat_id, root_id
+  HAVING NOT bool_or(gap) AND NOT bool_or(coalesce(early, false)) AND bool_and(seen) AND min(author) <> max(author))
+SELECT t.chat_id, t.root_id, t.msg_id, row_number() OVER (PARTITION BY t.chat_id, t.root_id ORDER BY t.ts, t.msg_id) AS turn_no,
+  CASE WHEN t.author = t.asker THEN 'user' ELSE 'assistant' END AS speaker_role FROM t JOIN k USING (chat_id, root_id)"""
 
 SQL = {
+    "p7_found": _CONVERSATIONS,
     "p6_found": """SELECT 'full_clean_messages' AS src, chat_id, msg_id AS item_id FROM full_clean_messages WHERE length(text_clean) > 1200
 UNION ALL SELECT 'jsonl_records', CAST(0 AS BIGINT), rec_id FROM jsonl_records WHERE length(record) > 4000""",
     "p9_found": r"""
