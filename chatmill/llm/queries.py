@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chatmill.llm.conversations import rebuild_conversations
 from chatmill.llm.leakage import leaked_items
 from chatmill.llm.packing import pack, token_counts
+from chatmill.llm.pairs import answers_of, flag_answers
 from chatmill.llm.shared_spans import shared_fraction, shared_spans
 from chatmill.llm.splitting import split_items
 from chatmill.sources.tables import table
@@ -30,6 +31,11 @@ def p10_shared_fraction(spark: SparkSession, sf: str) -> DataFrame:
 TOKENIZER = os.environ.get("CHATMILL_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    answers = answers_of(table(spark, sf, "dpo_preference_pairs"), table(spark, sf, "sft_dialogues"))
+    return flag_answers(answers, ["src", "rec_id", "slot"])
+
+
 def _split(spark: SparkSession, sf: str) -> DataFrame:
     messages = split_items(table(spark, sf, "full_clean_messages"), ["chat_id", "msg_id"], "text_clean", 1200)
     records = split_items(table(spark, sf, "jsonl_records"), ["rec_id"], "record", 4000, kind="json")
@@ -58,7 +64,7 @@ def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_counts(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER))
 
 
-QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
 
 _CONVERSATIONS = r"""
 WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(unixtime) AS ts, min(coalesce(author_id_raw, '')) AS author, min(nullif(reply_to_id, 0)) AS r,
