@@ -11,6 +11,7 @@ from chatmill.llm.conversations import rebuild_conversations
 from chatmill.llm.leakage import leaked_items
 from chatmill.llm.packing import pack, token_counts
 from chatmill.llm.pairs import answers_of, flag_answers
+from chatmill.llm.personal import mask_personal, personal_fields
 from chatmill.llm.shared_spans import shared_fraction, shared_spans
 from chatmill.llm.splitting import split_items
 from chatmill.sources.tables import table
@@ -36,6 +37,16 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return flag_answers(answers, ["src", "rec_id", "slot"])
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    raw, clean = table(spark, sf, "normalized_messages"), table(spark, sf, "full_clean_messages")
+    keys = ["chat_id", "msg_id"]
+    return personal_fields([(raw, keys, "text_raw"), (raw, keys, "author_raw"), (clean, keys, "text_clean")])
+
+
+def p4_masked(spark: SparkSession, sf: str) -> DataFrame:
+    return mask_personal(table(spark, sf, "full_clean_messages"), ["chat_id", "msg_id"], "text_clean")
+
+
 def _split(spark: SparkSession, sf: str) -> DataFrame:
     messages = split_items(table(spark, sf, "full_clean_messages"), ["chat_id", "msg_id"], "text_clean", 1200)
     records = split_items(table(spark, sf, "jsonl_records"), ["rec_id"], "record", 4000, kind="json")
@@ -64,7 +75,7 @@ def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_counts(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER))
 
 
-QUERIES = {"p3_found": p3_found, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_masked": p4_masked, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
 
 _CONVERSATIONS = r"""
 WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(unixtime) AS ts, min(coalesce(author_id_raw, '')) AS author, min(nullif(reply_to_id, 0)) AS r,
