@@ -90,8 +90,8 @@ FORMS = [
     ("ADDRESS", "kind last", re.compile(rf"(?<![\w-]){_PLACE}[^\W\d_][\w-]+\s+{_KIND},?\s+(?:в\s+)?(?:д\.?\s*|дом[ае]?\s+|стр\.?\s*|№\s*)?{_HOUSE}(?!\d|:\d|\w){_TAIL}*", re.I)),
     ("ADDRESS", "kind comma", re.compile(rf"(?<![\w-])(?:\d{{6}},\s*)(?:г\.\s*)?[^\W\d_][\w-]+,\s+{_KIND}\s*[^\W\d_][\w-]+,\s+{_HOUSE}(?!\d|:\d|\w){_TAIL}*", re.I)),
     ("ADDRESS", "no kind", re.compile(rf"(?<![\w-])[^\W\d_][\w-]*(?:ая|ой|ий|ый|ого|ва|на)\s+(?:д\.\s*)?{_HOUSE}{_TAIL}+", re.I)),
-    ("ADDRESS", "english", re.compile(rf"(?<![\w-])\d{{1,5}}\s+(?:[A-Za-z][\w']*\s+){{1,3}}{_ENGLISH}(?!\w){_TAIL}*", re.I)),
-    ("ADDRESS", "english last", re.compile(rf"(?<![\w-])(?:[A-Z][\w']*\s+){{1,3}}{_ENGLISH}\s+\d{{1,4}}(?!\d|:\d|\w){_TAIL}*", re.I)),
+    ("ADDRESS", "english", re.compile(rf"(?<![\w-])\d{{1,5}}\s+(?:(?!(?:to|it|at|in|on|is|goes|the|by|from|me)\s)[A-Za-z][\w']*\s+){{1,3}}{_ENGLISH}(?!\w){_TAIL}*", re.I)),
+    ("ADDRESS", "english last", re.compile(rf"(?<![\w-])(?:(?!(?:to|it|at|in|on|is|goes|the|by|from|me)\s)[A-Z][\w']*\s+){{1,3}}{_ENGLISH}\s+\d{{1,4}}(?!\d|:\d|\w){_TAIL}*", re.I)),
 ]
 _BY_KIND = {k: [(name, p) for kind, name, p in FORMS if kind == k] for k in KINDS}
 # Cheap tests that tell which forms can occur at all.
@@ -206,7 +206,8 @@ def candidates(text: str) -> list[tuple[int, int, str, list[str]]]:
             cases = "".join(_cased(w) for w in WORD.findall(span) if len(w) > 1)
             f += [f"NAME {form} {'same' if len(set(cases)) == 1 else 'mixed'}", f"NAME {'low' if 'a' in cases else 'high'}", f"NAME script {'mixed' if re.search('[а-яё]', span, re.I) and re.search('[a-z]', span, re.I) else 'one'}"]
         elif kind == "ADDRESS":
-            f.append(f"ADDRESS rooms {bool(re.search(_TAIL, span, re.I))}")
+            word = re.search(rf"(?<!\w){_KIND}(?!\w)", span, re.I)
+            f += [f"ADDRESS rooms {bool(re.search(_TAIL, span, re.I))}", f"ADDRESS word {word[0].lower() if word else ''}", f"ADDRESS comma {',' in span}", f"ADDRESS code {bool(re.match(r'[0-9]{6},', span))}", f"ADDRESS pair {bool(re.search(r'[0-9][-/][0-9]', span))}"]
         elif form == "spoken":
             f.append(f"EMAIL spoken {bool(re.search(r'(?i)dot|точка', span))}")
         out.append((a, b, kind, f))
@@ -338,7 +339,7 @@ def train(rounds: int = 6, rate: float = 0.3, decay: float = 1e-4) -> dict[str,
         r.shuffle(data)
         for spans, gold in data:
             scores = [sum(weights.get(f, 0.0) for f in fs) for _, _, _, fs in spans]
-                for (_, _, _, fs), p, g in zip(spans, marginals(spans, scores), gold, strict=True):
+            for (_, _, _, fs), p, g in zip(spans, marginals(spans, scores), gold, strict=True):
                 for f in fs:
                     w = weights.get(f, 0.0)
                     weights[f] = w + step * (g - p - decay * w)
