@@ -105,8 +105,10 @@ class Words:
         inside = np.concatenate(([False], self.letters != 0, [False]))
         turn = np.flatnonzero(inside[1:] != inside[:-1])
         self.begin, self.end = turn[::2], turn[1::2]
-        place = np.flatnonzero(shown)[self.begin] if len(self.begin) else np.zeros(0, np.int64)
-        self.text = np.searchsorted(ends, place, side="right")
+        self.raw = raw
+        #: Where each word begins in the joined texts.
+        self.place = np.flatnonzero(shown)[self.begin] if len(self.begin) else np.zeros(0, np.int64)
+        self.text = np.searchsorted(ends, self.place, side="right")
         n = size_up(len(self.letters) + 1)
         p, inverse = powers(n), powers(n, INVERSE)
         with np.errstate(over="ignore"):

@@ -14,6 +14,7 @@ from chatmill.llm.pairs import answers_of, flag_answers
 from chatmill.llm.personal import mask_personal, personal_fields
 from chatmill.llm.shared_spans import shared_fraction, shared_spans
 from chatmill.llm.splitting import split_items
+from chatmill.llm.subjects import assign_subjects, composition
 from chatmill.sources.tables import table
 
 
@@ -32,6 +33,18 @@ def p10_shared_fraction(spark: SparkSession, sf: str) -> DataFrame:
 TOKENIZER = os.environ.get("CHATMILL_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 
 
+def _subjects(spark: SparkSession, sf: str) -> DataFrame:
+    return assign_subjects(table(spark, sf, "full_clean_messages"), table(spark, sf, "subject_labels"), table(spark, sf, "subject_areas"))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _subjects(spark, sf).select("chat_id", "msg_id", F.explode("subjects").alias("subject")).distinct()
+
+
+def p1_composition(spark: SparkSession, sf: str) -> DataFrame:
+    return composition(_subjects(spark, sf))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     answers = answers_of(table(spark, sf, "dpo_preference_pairs"), table(spark, sf, "sft_dialogues"))
     return flag_answers(answers, ["src", "rec_id", "slot"])
@@ -75,7 +88,7 @@ def p8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(token_counts(table(spark, sf, "documents"), "doc_id", "text", TOKENIZER))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_masked": p4_masked, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
+QUERIES = {"p1_found": p1_found, "p1_composition": p1_composition, "p3_found": p3_found, "p4_found": p4_found, "p4_masked": p4_masked, "p6_found": p6_found, "p6_pieces": p6_pieces, "p7_found": p7_found, "p7_turns": p7_turns, "p8_packing": p8_packing, "p9_found": p9_found, "p10_found": p10_found, "p10_shared_fraction": p10_shared_fraction}
 
 _CONVERSATIONS = r"""
 WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(unixtime) AS ts, min(coalesce(author_id_raw, '')) AS author, min(nullif(reply_to_id, 0)) AS r,
