@@ -163,7 +163,7 @@ def fit(labelled: DataFrame, subjects: Sequence[str], text: str = "text", labels
     for turn in range(1, rounds + 1):
         sent = spark.sparkContext.broadcast(weights)
         parts = rows.mapInArrow(gradients(sent), "loss double, n long, g0 binary, g1 binary, g2 binary").collect()
-        sent.unpersist()
+        sent.destroy()
         total = max(1, sum(x.n for x in parts))
         for k, w in enumerate(weights):
             g = sum((np.frombuffer(x[f"g{k}"], np.float32).reshape(w.shape) for x in parts), np.zeros_like(w)) / total
@@ -201,12 +201,17 @@ def _key(text: Column) -> Column:
     return F.xxhash64(F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, r"(?<=[\p{L},] )\p{Lu}\p{Ll}+", "N")), r"\P{L}+", " ")))
 
 
+def _examples(many: int = 8) -> Column:
+    """Some texts of a group, drawn with partial aggregation by hashes."""
+    return F.array_distinct(F.array(*[F.min_by("text", F.xxhash64(F.lit(k), "text")) for k in range(many)])).alias("texts")
+
+
 def quiet_statements(sample: DataFrame, least: int = 5, share: float = 0.6) -> DataFrame:
     """``text`` of statements that the labelled messages repeat under changing subjects, so that they have none."""
     said = sample.select(F.explode(F.split("text", r"(?<=[.!?…])\s+|\n+")).alias("text"), "subjects").withColumn("key", _key(F.col("text")))
-    often = said.groupBy("key").agg(F.count("*").alias("n"), F.min("text").alias("text")).where(F.col("n") >= least)
+    often = said.groupBy("key").agg(F.count("*").alias("n"), _examples()).where(F.col("n") >= least)
     most = said.select("key", F.explode("subjects").alias("subject")).groupBy("key", "subject").agg(F.count("*").alias("n")).groupBy("key").agg(F.max("n").alias("most"))
-    return often.join(most, "key").where(F.col("most") < share * F.col("n")).select("text")
+    return often.join(most, "key").where(F.col("most") < share * F.col("n")).select(F.explode("texts").alias("text"))
 
 
 def idle_messages(messages: DataFrame, sample: DataFrame, text: str) -> DataFrame:
@@ -219,7 +224,7 @@ def idle_messages(messages: DataFrame, sample: DataFrame, text: str) -> DataFram
     keyed = messages.select(F.col(text).alias("text"), _key(F.col(text)).alias("key")).where("text is not null")
     often = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("key")
     idle = often.join(sample.select(_key(F.col("text")).alias("key")), "key", "left_anti")
-    return keyed.join(F.broadcast(idle), "key").groupBy("key").agg(F.min("text").alias("text")).select("text")
+    return keyed.join(F.broadcast(idle), "key").groupBy("key").agg(_examples()).select(F.explode("texts").alias("text"))
 
 
 def assign_subjects(messages: DataFrame, labels: DataFrame, areas: DataFrame, keys: Sequence[str] = ("chat_id", "msg_id"), text: str = "text_clean", threshold: float = THRESHOLD, most_labelled: int = MOST_LABELLED) -> DataFrame:
