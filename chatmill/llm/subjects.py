@@ -21,14 +21,14 @@ from chatmill.llm.codes import Words, chunks, mix
 from chatmill.plans.scratch import Scratch
 
 TABLE_BITS = 15
-DIMENSIONS = 24
+DIMENSIONS = 16
 #: Labelled messages the model is fitted on at most: those with the least hash of their key. Scoring covers all messages.
 MOST_LABELLED = 12_000
 ROUNDS = 60
 THRESHOLD = 0.3
 #: Shares the labelled messages are split into; each is one task of a round.
 SHARES = 8
-SCORE_CHARS = 1 << 18
+SCORE_CHARS = 1 << 20
 _ENDS = np.array([ord(c) for c in ".!?…\n"], np.uint32)
 _BLANK = np.array([ord(c) for c in " \n\t\r "], np.uint32)
 
@@ -51,16 +51,29 @@ class Statements:
         at = number[w.place[keep]]
         self.statement = np.cumsum(np.concatenate(([0], (at[1:] != at[:-1]) | (self.text[1:] != self.text[:-1])))) if len(at) else np.zeros(0, np.int64)
         self.word_feature = (mix(self.hash) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        letters = np.concatenate((np.zeros(1, np.uint32), w.letters, np.zeros(3, np.uint32))).astype(np.uint64)
-        n = len(w.letters) + 1
-        with np.errstate(over="ignore"):
-            three = (letters[:n] * np.uint64(0x1F123BB5) + letters[1 : n + 1]) * np.uint64(0x9E3779B1) + letters[2 : n + 2]
-            four = three * np.uint64(0x85EBCA6B) + letters[3 : n + 3]
-        #: Group of three or four letters that begins one letter before each letter; 0 stands for the border of a word.
-        self.three = (mix(three) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        self.four = (mix(four + np.uint64(7)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        size = self.end - self.begin
-        self.threes, self.fours = size, np.maximum(size - 1, 1)
+        self.letters = w.letters
+
+    def features(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of the given words and to which of them each belongs, in order: the word, groups of three and four letters.
+
+        A group of three begins one letter before each letter of the word, one of four at all but the last of those
+        places; the borders of the word count as a letter.
+        """
+        letters = np.concatenate((np.zeros(1, np.uint32), self.letters, np.zeros(3, np.uint32)))
+        begin, size = self.begin[words], self.end[words] - self.begin[words]
+        own = np.arange(len(words))
+        parts, owner = [self.word_feature[words]], [own]
+        for width, many in ((3, size), (4, np.maximum(size - 1, 1))):
+            at = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            h = np.full(len(at), width, np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(width):
+                    h = h * np.uint64(0x9E3779B97F4A7C15) + letters[at + k].astype(np.uint64)
+            parts.append((mix(h) >> np.uint64(64 - TABLE_BITS)).astype(np.int64))
+            owner.append(np.repeat(own, many))
+        feature, owner = np.concatenate(parts), np.concatenate(owner)
+        order = np.argsort(owner, kind="stable")
+        return feature[order], owner[order]
 
     def __len__(self) -> int:
         return int(self.statement[-1]) + 1 if len(self.statement) else 0
@@ -74,16 +87,7 @@ class Share:
         self.labels = labels
         self.n = len(s)
         _, first, self.word = np.unique(s.hash, return_index=True, return_inverse=True)
-        own = np.arange(len(first))
-        parts, owner = [s.word_feature[first]], [own]
-        for groups, many in ((s.three, s.threes[first]), (s.four, s.fours[first])):
-            start = s.begin[first]
-            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            parts.append(groups[np.repeat(start, many) + step])
-            owner.append(np.repeat(own, many))
-        feature, owner = np.concatenate(parts), np.concatenate(owner)
-        order = np.argsort(owner, kind="stable")
-        self.feature, owner = feature[order], owner[order]
+        self.feature, owner = s.features(first)
         self.feature_start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
         self.feature_count = np.bincount(owner, minlength=len(first)).astype(np.float32)
         self.by_feature = np.argsort(self.feature, kind="stable")
@@ -182,11 +186,10 @@ def scores(texts: Sequence[str | None], features: np.ndarray, bias: np.ndarray)
         s = Statements(texts[a:b])
         if not len(s):
             continue
-        total = features[s.word_feature].astype(np.float64)
-        for groups, many in ((s.three, s.threes), (s.four, s.fours)):
-            running = np.concatenate((np.zeros((1, len(bias))), np.cumsum(features[groups], axis=0, dtype=np.float64)))
-            total += running[s.begin + many] - running[s.begin]
-        words = total / (1 + s.threes + s.fours)[:, None]
+        _, first, word = np.unique(s.hash, return_index=True, return_inverse=True)
+        feature, owner = s.features(first)
+        begins = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        words = (np.add.reduceat(features[feature], begins) / np.bincount(owner)[:, None]).astype(np.float32)[word]
         start = np.flatnonzero(np.concatenate(([True], s.statement[1:] != s.statement[:-1])))
         size = np.diff(np.concatenate((start, [len(words)])))
         p = 1 / (1 + np.exp(-(np.add.reduceat(words, start) / size[:, None] + bias)))
@@ -222,9 +225,12 @@ def idle_messages(messages: DataFrame, sample: DataFrame, text: str) -> DataFram
     size, total = sample.count(), messages.count()
     least = 3 * total / max(1, size)
     keyed = messages.select(F.col(text).alias("text"), _key(F.col(text)).alias("key")).where("text is not null")
-    often = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("key")
-    idle = often.join(sample.select(_key(F.col("text")).alias("key")), "key", "left_anti")
-    return keyed.join(F.broadcast(idle), "key").groupBy("key").agg(_examples()).select(F.explode("texts").alias("text"))
+    often = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("longest")).where(F.col("n") >= least).select("key", "longest")
+    idle = Scratch(messages.sparkSession, "idle").save("idle", often.join(sample.select(_key(F.col("text")).alias("key")), "key", "left_anti"))
+    longest = idle.agg(F.max("longest")).first()[0] or 0
+    # longer texts have none of these keys
+    near = messages.where(F.length(text) <= longest).select(F.col(text).alias("text"), _key(F.col(text)).alias("key"))
+    return near.join(F.broadcast(idle.select("key")), "key").groupBy("key").agg(_examples()).select(F.explode("texts").alias("text"))
 
 
 def assign_subjects(messages: DataFrame, labels: DataFrame, areas: DataFrame, keys: Sequence[str] = ("chat_id", "msg_id"), text: str = "text_clean", threshold: float = THRESHOLD, most_labelled: int = MOST_LABELLED) -> DataFrame:
