@@ -164,9 +164,21 @@ def fit(labelled: DataFrame, subjects: Sequence[str], text: str = "text", labels
 
         return part
 
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, n, sums = 0.0, 0, None
+        for b in batches:
+            for k in range(b.num_rows):
+                loss, n = loss + b.column(0)[k].as_py(), n + b.column(1)[k].as_py()
+                grads = [np.frombuffer(b.column(2 + j)[k].as_py(), np.float32) for j in range(3)]
+                sums = grads if sums is None else [a + g for a, g in zip(sums, grads, strict=True)]
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([n]), *(pa.array([g.tobytes()], pa.binary()) for g in sums)], ["loss", "n", "g0", "g1", "g2"])
+
+    schema = "loss double, n long, g0 binary, g1 binary, g2 binary"
     for turn in range(1, rounds + 1):
         sent = spark.sparkContext.broadcast(weights)
-        parts = rows.mapInArrow(gradients(sent), "loss double, n long, g0 binary, g1 binary, g2 binary").collect()
+        # the shares' gradients are summed in one task; there are SHARES of them, and the driver gets the sum
+        parts = rows.mapInArrow(gradients(sent), schema).repartition(1).mapInArrow(together, schema).collect()
         sent.destroy()
         total = max(1, sum(x.n for x in parts))
         for k, w in enumerate(weights):
