@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +64,37 @@ def classified(rows: DataFrame, text: str, taxonomy: Mapping[str, list[str]] = T
 
 
 def tags(text: Column, taxonomy: Mapping[str, list[str]] = TAXONOMY) -> Column:
-    """Sorted keywords that occur with neither letter, digit, underscore nor hyphen next to them; overlaps count."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    found = [F.when(F.contains(low, F.lit(k)) & low.rlike(rf"(?<![\p{{L}}\p{{N}}_-])\Q{k}\E(?![\p{{L}}\p{{N}}_-])"), F.lit(k)) for k in sorted({k for ks in taxonomy.values() for k in ks})]
-    return F.array_sort(F.array_compact(F.array(*found)))
+    """Sorted keywords that occur with neither letter, digit, underscore nor hyphen next to them; overlaps count.
+
+    All keywords are searched for at once by an automaton, in Arrow batches; a chain of expressions would lower the
+    text again for every keyword.
+    """
+    words = sorted({k for ks in taxonomy.values() for k in ks})
+
+    def find(texts: pd.Series) -> pd.Series:
+        automaton = None
+        try:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for w in words:
+                automaton.add_word(w, w)
+            automaton.make_automaton()
+        except ImportError:
+            pass
+        joins = lambda c: c.isalnum() or c in "_-"
+
+        def one(text: str | None) -> list[str]:
+            low = (text or "").lower()
+            if automaton is not None:
+                hits = ((e - len(w) + 1, w) for e, w in automaton.iter(low))
+            else:
+                hits = ((k, w) for w in words if w in low for k in range(len(low) - len(w) + 1) if low.startswith(w, k))
+            return sorted({w for k, w in hits if not (k and joins(low[k - 1])) and not (k + len(w) < len(low) and joins(low[k + len(w)]))})
+
+        return texts.map(one)
+
+    return F.pandas_udf(find, "array<string>")(text)
 
 
 def sentiment(text: Column, lexicon: Mapping[str, int] = SENTIMENT) -> Column:

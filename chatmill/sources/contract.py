@@ -6,18 +6,28 @@ import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType
 
 from chatmill.functions.text import stripped
 
 VERSION = "1.0.0"
-_MESSAGES = "msg_id long, chat_id long, chat_name string, timestamp string, unixtime long, author_anon string, author_id_anon string, text_clean string, reply_to_id double, domain string, tags array<string>, sentiment_score long, token_count_approx long, is_question boolean, thread_id long"
-_DIALOGUES = "thread_id long, chat_name string, topic_domain string, topic_tags array<string>, messages array<struct<author: string, content: string, role: string, timestamp: string>>, quality_score double, turn_count long, total_tokens long"
-_CHUNKS = "chunk_id string, thread_id long, chat_name string, title string, topic_domain string, topic_tags array<string>, content string, date_range string, participants_count long, message_count long, token_count long"
+_STRINGS = ArrayType(StringType())
+_TURNS = ArrayType(StructType([StructField(n, StringType()) for n in ("author", "content", "role", "timestamp")]))
+
+
+def _schema(**columns: DataType) -> StructType:
+    return StructType([StructField(n, t) for n, t in columns.items()])
+
+
+_L, _T, _D = LongType(), StringType(), DoubleType()
 # Columns of the published tables.
-SCHEMAS = {"full_clean_messages": StructType.fromDDL(_MESSAGES), "sft_dialogues": StructType.fromDDL(_DIALOGUES), "rag_knowledge_base": StructType.fromDDL(_CHUNKS)}
+SCHEMAS = {
+    "full_clean_messages": _schema(msg_id=_L, chat_id=_L, chat_name=_T, timestamp=_T, unixtime=_L, author_anon=_T, author_id_anon=_T, text_clean=_T, reply_to_id=_D, domain=_T, tags=_STRINGS, sentiment_score=_L, token_count_approx=_L, is_question=BooleanType(), thread_id=_L),
+    "sft_dialogues": _schema(thread_id=_L, chat_name=_T, topic_domain=_T, topic_tags=_STRINGS, messages=_TURNS, quality_score=_D, turn_count=_L, total_tokens=_L),
+    "rag_knowledge_base": _schema(chunk_id=_T, thread_id=_L, chat_name=_T, title=_T, topic_domain=_T, topic_tags=_STRINGS, content=_T, date_range=_T, participants_count=_L, message_count=_L, token_count=_L),
+}
 
 
 def fingerprint() -> str:
@@ -54,7 +64,7 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("line").write.mode("overwrite").text(path)
 
 
-def _json(*columns) -> F.Column:
+def _json(*columns) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("line")
 
 
