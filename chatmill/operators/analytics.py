@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.functions.text import content_words, stripped, token_count, word_count
+from chatmill.plans.ranks import with_previous
 
 # Jargon of the community that is counted.
 SLANG = """деплой деплоить задеплоил прод продакшн проде мерж смержить стек стека пыха пыхе жаба джава кубер кубере кубик шадсн курсор курсоре дипсик дипсика дипсике
@@ -60,8 +61,10 @@ def busiest(rows: DataFrame, unit: str) -> DataFrame:
 
 def intervals(rows: DataFrame, most: int = 86400) -> DataFrame:
     """Statistics of the seconds between a message and the next of its chat, up to ``most``."""
-    gap = F.col("unixtime") - F.lag("unixtime").over(Window.partitionBy("chat_id").orderBy("unixtime", "msg_id"))
-    return rank_percentiles(rows.where("unixtime is not null").withColumn("gap", gap).where(F.col("gap").between(0, most)), "gap")
+    narrow = rows.where("unixtime is not null").select("chat_id", "msg_id", "unixtime")
+    ordered = with_previous(narrow, [F.col("chat_id"), F.col("unixtime"), F.col("msg_id")], ["chat_id", "unixtime"])
+    gap = F.when(F.col("prev_chat_id").eqNullSafe(F.col("chat_id")), F.col("unixtime") - F.col("prev_unixtime"))
+    return rank_percentiles(ordered.withColumn("gap", gap).where(F.col("gap").between(0, most)), "gap")
 
 
 def ngrams(rows: DataFrame, text: str, n: int, most: int) -> DataFrame:

@@ -44,8 +44,12 @@ def stratified_sample(rows: DataFrame, stratum: str, key: Column, size: int, see
     # strata are few; their remainders are ranked together
     ranked = share.withColumn("place", F.row_number().over(order)).withColumn("spare", size - F.sum("base").over(Window.partitionBy()))
     alloc = ranked.select(F.col(stratum).alias("_s"), F.when(F.col("total") <= size, F.col("n")).otherwise(F.col("base") + (F.col("place") <= F.col("spare")).cast("long")).alias("_alloc"))
-    drawn = rows.withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_at", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key)))
-    return drawn.join(F.broadcast(alloc), F.col(stratum).eqNullSafe(F.col("_s"))).where("_at <= _alloc").drop("_h", "_at", "_s", "_alloc")
+    # what can't be drawn goes within 64 parts of a stratum first, so that no stratum is ordered whole in one task
+    hashed = rows.withColumn("_h", F.xxhash64(F.lit(seed), key)).join(F.broadcast(alloc), F.col(stratum).eqNullSafe(F.col("_s")))
+    part = Window.partitionBy(stratum, F.pmod(F.shiftright("_h", 7), F.lit(64))).orderBy("_h", key)
+    some = hashed.withColumn("_at", F.row_number().over(part)).where("_at <= _alloc")
+    drawn = some.withColumn("_at", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key)))
+    return drawn.where("_at <= _alloc").drop("_h", "_at", "_s", "_alloc")
 
 
 def z_value(confidence: float, one_sided: bool = False) -> float:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatmill.plans.scratch import Scratch
+
 TERM = r"([\p{L}\p{N}_]{2,})"
 MOST_FEATURES = 20_000
 MOST_CANDIDATES = 5_000
@@ -50,6 +52,7 @@ def search(chunks: DataFrame, query: str, key: str, text: str, top: int = 5, mod
         return pool.select(key, F.lit(0.0).alias("score"), F.lit(0.0).alias("lexical")).limit(0)
     hit = F.lower(text).rlike("|".join(f"\\Q{w}\\E" for w in dict.fromkeys(words)))
     found = pool.where(hit).select(F.col(key).alias("k"), F.col(text).alias("t"), keyword_score(F.col(text), words).alias("lexical")).orderBy(F.desc("lexical"), "k").limit(MOST_CANDIDATES)
+    found = Scratch(chunks.sparkSession, "search").save("found", found)
     many = found.count()
     if mode == "lexical" or many < 2:
         return found.select(F.col("k").alias(key), F.col("lexical").alias("score"), "lexical").orderBy(F.desc("score"), key).limit(top)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.operators.hierarchy import resolve_hierarchy
-from chatmill.plans.ranks import with_position
+from chatmill.plans.ranks import with_position, with_previous, with_running_sum
 from chatmill.plans.scratch import Scratch
 
 REPLY_HOURS, BURST_SECONDS = 48, 300
@@ -39,9 +39,11 @@ def build_threads(rows: DataFrame, hours: int = REPLY_HOURS, burst: int = BURST_
     parents = links.select("chat_id", F.col("parent_id").alias("msg_id")).distinct().withColumn("_has", F.lit(True))
     flagged = own.join(tree.select("chat_id", "msg_id", "root_id", "depth", "cyclic"), ["chat_id", "msg_id"]).join(parents, ["chat_id", "msg_id"], "left")
     flagged = flagged.withColumn("in_tree", ~F.col("cyclic") & ((F.col("depth") > 0) | F.coalesce("_has", F.lit(False))))
-    along = Window.partitionBy("chat_id").orderBy("unixtime", "msg_id")
-    breaks = F.lag("in_tree").over(along).isNull() | F.lag("in_tree").over(along) | (F.col("unixtime") - F.lag("unixtime").over(along) > burst)
-    runs = flagged.withColumn("_break", F.when(~F.col("in_tree") & breaks, 1).otherwise(0)).withColumn("_run", F.sum("_break").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    ordered = with_previous(flagged, [F.col("chat_id"), F.col("unixtime"), F.col("msg_id")], ["chat_id", "in_tree", "unixtime"])
+    # a run breaks at another chat, after a tree message and after a gap; runs are numbered through all chats
+    same = F.coalesce((F.col("prev_chat_id") == F.col("chat_id")) & ~F.col("prev_in_tree") & (F.col("unixtime") - F.col("prev_unixtime") <= burst), F.lit(False))
+    marked = ordered.withColumn("_break", F.when(~F.col("in_tree") & ~same, 1).otherwise(0))
+    runs = with_running_sum(marked.select("chat_id", "msg_id", "unixtime", "depth", "in_tree", "root_id", "place", "_break"), "place", "_break", "_run")
     runs = scratch.save("runs", runs.withColumn("group", F.when(F.col("in_tree"), F.col("root_id")).otherwise(-F.col("_run"))).select("chat_id", "msg_id", "unixtime", "depth", "in_tree", "group"))
     root = F.when(~F.col("in_tree") | (F.col("depth") == 0), F.struct("unixtime", "msg_id"))
     groups = runs.groupBy("chat_id", "in_tree", "group").agg(F.count("*").alias("n"), F.min(root).alias("first"))

@@ -22,3 +22,25 @@ def with_position(rows: DataFrame, order: list[Column], name: str = "position",
     before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     number = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return ranged.withColumn("_row", number).join(F.broadcast(before), "_part").withColumn(name, (F.col("_row") + F.col("_before") + (first - 1)).cast("long")).drop("_part", "_row", "_before")
+
+
+def with_previous(rows: DataFrame, order: list[Column], columns: list[str], name: str = "place") -> DataFrame:
+    """``rows`` with their place in a total order and the ``columns`` of the row before as prev_...; nulls for the first.
+
+    In place of a lag over a key that may hold most rows: rows are matched by their places.
+    """
+    scratch = Scratch(rows.sparkSession, "previous")
+    placed = scratch.save("placed", with_position(rows, order, name))
+    before = placed.select((F.col(name) + 1).alias(name), *[F.col(c).alias(f"prev_{c}") for c in columns])
+    return placed.join(before, name, "left")
+
+
+def with_running_sum(rows: DataFrame, place: str, value: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` up to each row in the order of ``place``, by ranges like ``with_position``."""
+    scratch = Scratch(rows.sparkSession, "sums")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = scratch.save("ranged", rows.repartitionByRange(parts, place).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.sum(value).alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inner = F.sum(value).over(Window.partitionBy("_part").orderBy(place).rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.withColumn("_sum", inner).join(F.broadcast(before), "_part").withColumn(name, F.col("_sum") + F.col("_before")).drop("_part", "_sum", "_before")
