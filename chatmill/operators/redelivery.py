@@ -8,6 +8,7 @@ read once more, and each row looks up its bit in the vector of its file.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,18 +88,19 @@ def deduplicate_deliveries(
     groups = max(1, -(-vectors.count() * VECTOR_BYTES // broadcast_bytes))
     paths = [path] if isinstance(path, str) else list(path)
     source = spark.read.parquet(*paths)
-    hashed = spark.createDataFrame([(f,) for f in source.inputFiles()] or [("",)], "f string").select("f", F.xxhash64("f").alias("h")).collect()
+    # one row for each file; no column is read for it
+    hashed = source.select(F.col("_metadata.file_path").alias("f")).distinct().select("f", F.xxhash64("f").alias("h")).collect()
     if len({r.h for r in hashed}) != len(hashed):
         raise ValueError("two files of the table share a hash")
     if groups == 1:
         return _apply(source, vectors, columns)
     out: DataFrame | None = None
     for g in range(groups):
-        files = [r.f for r in hashed if r.h % groups == g]
+        files = [unquote(r.f) for r in hashed if r.h % groups == g]
         if files:
             part = _apply(spark.read.schema(source.schema).parquet(*files), vectors.where(F.pmod("_file", F.lit(groups)) == g), columns)
             out = part if out is None else out.unionByName(part)
-    return out
+    return source.select(*(columns or source.columns), F.lit(False).alias("redelivered")) if out is None else out
 
 
 def _apply(source: DataFrame, vectors: DataFrame, columns: Sequence[str] | None) -> DataFrame:
