@@ -9,7 +9,7 @@ def run(spark, stream, name):
 
 
 def test_streams(spark, tmp_path):
-    rows = spark.createDataFrame([(1, 1, 0, "Одинаковый текст"), (1, 2, 60, "одинаковый ТЕКСТ"), (1, 3, 4000, "другой"), (1, 4, 400_000, "последний")], "chat_id long, msg_id long, s long, t string").withColumn("at", F.timestamp_seconds("s"))
+    rows = spark.createDataFrame([(1, 1, 0, "Одинаковый текст"), (1, 2, 60, "одинаковый ТЕКСТ"), (1, 3, 4000, "другой"), (1, 4, 400_000, "последний")], "chat_id long, msg_id long, s long, t string").withColumn("at", F.timestamp_seconds(F.col("s") + 1_000_000))
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     assert run(spark, S.deduplicated(stream(), "t", "at"), "s_dedup").count() == 3
