@@ -476,9 +476,9 @@ def v_sample_whole(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """WITH c AS (SELECT chat_name, count(*) AS n FROM full_clean_messages GROUP BY chat_name), r AS (SELECT chat_name, n * 1000.0 / sum(n) OVER () AS raw FROM c),
-p AS (SELECT chat_name, floor(raw) AS base, row_number() OVER (ORDER BY raw - floor(raw) DESC, chat_name) AS place FROM r)
-SELECT chat_name, CAST(base + CASE WHEN place <= 1000 - (SELECT sum(base) FROM p) THEN 1 ELSE 0 END AS BIGINT) AS n FROM p WHERE base + CASE WHEN place <= 1000 - (SELECT sum(base) FROM p) THEN 1 ELSE 0 END > 0"""
+    """WITH c AS (SELECT chat_name, count(*) AS n FROM full_clean_messages GROUP BY chat_name), r AS (SELECT chat_name, n, n * 1000.0 / sum(n) OVER () AS raw, sum(n) OVER () AS total FROM c),
+p AS (SELECT *, floor(raw) AS base, row_number() OVER (ORDER BY raw - floor(raw) DESC, chat_name) AS place FROM r),
+a AS (SELECT chat_name, CAST(CASE WHEN total <= 1000 THEN n ELSE base + CASE WHEN place <= 1000 - (SELECT sum(base) FROM p) THEN 1 ELSE 0 END END AS BIGINT) AS n FROM p) SELECT chat_name, n FROM a WHERE n > 0"""
 )
 def v_sample_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return audit.stratified_sample(_clean(spark, sf), "chat_name", F.concat_ws("/", "chat_id", "msg_id"), 1000).groupBy("chat_name").agg(F.count("*").alias("n"))
