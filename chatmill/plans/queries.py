@@ -655,7 +655,7 @@ def x_choice_letters(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "dpo_preference_pairs").select("pair_id", evaluation.choice_letter(F.col("chosen")).alias("letter"))
 
 
-@query("SELECT part, count(*) AS n FROM (SELECT CASE WHEN row_number() OVER (ORDER BY thread_id) > count(*) OVER () - 50 THEN 'holdout' ELSE 'rest' END AS part FROM sft_dialogues) GROUP BY part")
+@query("SELECT part, count(*) AS n FROM (SELECT CASE WHEN count(*) OVER () > 50 AND row_number() OVER (ORDER BY thread_id) > count(*) OVER () - 50 THEN 'holdout' ELSE 'rest' END AS part FROM sft_dialogues) GROUP BY part")
 def x_holdout(spark: SparkSession, sf: str) -> DataFrame:
     rows = evaluation.training_split(table(spark, sf, "sft_dialogues"), ["thread_id"], F.col("thread_id"), 50, None, 0.1)
     return rows.groupBy(F.when(F.col("part") == "holdout", "holdout").otherwise("rest").alias("part")).agg(F.count("*").alias("n"))
