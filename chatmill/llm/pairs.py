@@ -36,11 +36,12 @@ NOTHING = {"null", "none", "nan", "n a", "na", "nil", "undefined", "пусто",
 # Words that never end a finished statement.
 UNFINISHED = set(
     "и или а но что чтобы если когда пока где потому поэтому причём причем также затем потом который которая которое которые либо нужно надо можно должен "
-    "для к ко в во на с со по от ото из без до у о об при под над между через про вместе ещё еще после перед не ни раздел например то есть именно следующее "
-    "the a an to and or but because with without for of so that which who if when while into from by at on in as then than is are was need needs also another after before "
+    "для к ко в во на с со по от ото из без до у о об при под над между через про вместе ещё еще после перед не ни раздел например то есть именно следующее как хотя поскольку ибо зато "
+    "the a an to and or but because with without for of so that which who if when while into from by at on in as then than is are was need needs also another after before since unless though although until whereas "
     "und oder aber weil der die das den dem ein eine zu mit von für et ou mais parce que le la les un une des de du pour avec y o pero porque el los las una con para".split()
 ) - {"то", "есть", "именно", "потом", "перед", "надо", "можно", "in", "on", "that", "so", "also", "then", "after", "before", "is", "when", "о", "о", "o", "y", "потому", "про", "из"}
 JOINING = set("и или а но чтобы если когда затем потом ещё еще также нужно надо можно после and or but also then to that we you so if when which please необходимо стоит".split())
+_UNFINISHED_PHRASE = re.compile(r"(?<!\w)(?:при этом|так как|в том числе|а также|то есть|потому что|несмотря на|тем более|в частности|так что|до тех пор|as well as|such as|even though|in order to|due to|so far as|rather than|at which|(?:unless|if|when|because|since|while|that|which|and|but) (?:you|we|it|they|i|he|she)|(?:если|когда|что|чтобы|пока|но) (?:вы|мы|он|она|они|я|это))$", re.I)
 # Frequent short words of languages.
 SMALL_WORDS = {
     "ru": "и в не на что с по это как из за у то от для если но так же или его ещё чтобы был при уже только всё нас она они вы мы я поэтому стоит потом решает когда кто",
@@ -186,7 +187,7 @@ def is_truncated(answer: str, odd_end: bool) -> bool:
     if not last:
         return False
     words = _WORD.findall(text)
-    if last.group(1).casefold() in UNFINISHED and len(words) > 1:
+    if len(words) > 1 and (last.group(1).casefold() in UNFINISHED or _UNFINISHED_PHRASE.search(text)):
         return True
     if len(words) > 2 and words[-1].isalpha() and words[-1].islower() and odd_end:
         return words[-2].casefold() in JOINING or bool(re.search(r"[A-ZА-ЯЁ]", text))
