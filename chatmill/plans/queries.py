@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatmill.functions import text as T
-from chatmill.operators import analytics, audit, dedup, drift, evaluation, extract, network, pseudonyms, quality, retrieval, scrub, taxonomy, threads
+from chatmill.operators import analytics, audit, dedup, drift, evaluation, extract, network, pseudonyms, quality, reports, retrieval, scrub, taxonomy, threads
 from chatmill.sources import contract, exports
 from chatmill.sources.tables import table
 
@@ -614,6 +614,19 @@ def s_tail(spark: SparkSession, sf: str) -> DataFrame:
     return exports.tail_holdout(table(spark, sf, "jsonl_records"), ["rec_id"], 25).select("rec_id")
 
 
+@query()
+def v_probe(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.production_probe(_clean(spark, sf), "text_clean", F.concat_ws("/", "chat_id", "msg_id"))
+
+
+@query(
+    """SELECT (SELECT count(*) FROM full_clean_messages) AS messages, (SELECT count(DISTINCT thread_id) FROM full_clean_messages) AS threads, count(*) FILTER (WHERE ok) AS valid_lines, count(*) FILTER (WHERE NOT ok) AS other_lines
+FROM (SELECT coalesce(json_valid(record) AND json_type(CASE WHEN json_valid(record) THEN record END) = 'OBJECT', false) AS ok FROM jsonl_records)"""
+)
+def v_ci_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.ci_stats(_clean(spark, sf), table(spark, sf, "jsonl_records"), "record")
+
+
 # exports and evaluation
 
 

@@ -173,6 +173,15 @@ def test_quality_and_gate(spark):
     assert [r.compliant for r in quality.training_coverage(runs).collect()] == [True, False, False]
 
 
+def test_reports(tmp_path):
+    from chatmill.operators import reports
+
+    assert reports.bar(5, 10, 4) == "██░░" and reports.bar(1, 0, 2) == "░░"
+    assert "| a | b |" in reports.markdown({"x": [{"a": 1, "b": "c|d"}], "y": []}) and "c\\|d" in reports.markdown({"x": [{"b": "c|d"}]})
+    assert reports.load_report(str(tmp_path / "none")) == {}
+    assert reports.key_figures({}, {"volume": [{"messages": 3, "authors": 2, "tokens": 9}]}) == {"messages": 3, "authors": 2, "tokens": 9, "dialogues": 0, "pairs": 0}
+
+
 def test_choice_letters(spark):
     cases = {"A": "A", "Ответ: B": "B", "(C)": "C", "The answer is D": "D", "(в)": "B", "Ответ: в": "B", "Вариант В": "B", "Это вариант с": None, "Я не знаю в чём дело": None, "Compose a docker file": None, "": None, None: None}
     rows = spark.createDataFrame([(k,) for k in cases], "t string")
