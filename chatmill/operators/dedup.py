@@ -62,8 +62,7 @@ def near_pairs(signed: DataFrame, key: str, threshold: float = 0.8, bands: int =
     large buckets.
     """
     classes = signed.groupBy("signature").agg(F.min(key).alias("k"))
-    n = len(range(PERMUTATIONS))
-    rows = n // bands
+    rows = PERMUTATIONS // bands
     banded = classes.select("k", "signature", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("bucket")) for b in range(bands)])).alias("x")).select("k", "x.band", "x.bucket")
     shared = banded.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
     some = banded.join(shared, ["band", "bucket"])
