@@ -43,14 +43,14 @@ def rebuild_conversations(rows: DataFrame, with_text: bool = False) -> DataFrame
     scratch = Scratch(rows.sparkSession, "conversations")
     own = rows.select("chat_id", "msg_id", "unixtime", "author_id_raw", "text_raw", "reply_to_id", "batch_id", "ingested_at").where(~F.coalesce(rows["is_service"], F.lit(False)) & F.col("chat_id").isNotNull() & F.col("msg_id").isNotNull())
     answered = F.when((F.col("reply_to_id") != 0), message_hash(F.col("chat_id"), F.col("reply_to_id")))
-    first = F.struct(F.col("batch_id").isNull(), F.col("batch_id"), F.col("ingested_at").isNull(), F.col("ingested_at"), visible(F.col("text_raw")).alias("seen"), *([F.col("text_raw").alias("content")] if with_text else []))
+    first = F.struct(F.col("batch_id").isNull(), F.col("batch_id"), F.col("ingested_at").isNull(), F.col("ingested_at"), visible(F.col("text_raw")).alias("seen"))
     fragments = own.groupBy("chat_id", "msg_id").agg(F.min("unixtime").alias("at"), F.min(F.coalesce("author_id_raw", F.lit(""))).alias("author"), F.min(answered).alias("head"), F.min(first).alias("first"))
-    fragments = scratch.save("fragments", fragments.select("chat_id", "msg_id", message_hash(F.col("chat_id"), F.col("msg_id")).alias("tail"), "head", "at", "author", F.col("first.seen").alias("seen"), *([F.col("first.content").alias("content")] if with_text else [])))
+    fragments = scratch.save("fragments", fragments.select("chat_id", "msg_id", message_hash(F.col("chat_id"), F.col("msg_id")).alias("tail"), "head", "at", "author", F.col("first.seen").alias("seen")))
     tree = resolve_hierarchy(fragments.select("chat_id", "tail", "head"), "chat_id", "tail", "head", no_parent=()).where("not cyclic").select("chat_id", "tail", F.col("root_id").alias("origin"), "depth")
     linked = fragments.join(tree, ["chat_id", "tail"])
     before = fragments.select("chat_id", F.col("tail").alias("head"), F.col("at").alias("before"))
     linked = linked.join(before, ["chat_id", "head"], "left")
-    linked = scratch.save("linked", linked.select("chat_id", "origin", "msg_id", "at", "author", "depth", "seen", (F.col("depth") == 0).alias("begins"), F.col("head").isNotNull().alias("answers"), F.coalesce(F.col("at") < F.col("before"), F.lit(False)).alias("early"), *(["content"] if with_text else [])))
+    linked = scratch.save("linked", linked.select("chat_id", "origin", "msg_id", "at", "author", "depth", "seen", (F.col("depth") == 0).alias("begins"), F.col("head").isNotNull().alias("answers"), F.coalesce(F.col("at") < F.col("before"), F.lit(False)).alias("early")))
     sound = (
         linked.groupBy("chat_id", "origin")
         .agg(
@@ -70,10 +70,17 @@ def rebuild_conversations(rows: DataFrame, with_text: bool = False) -> DataFrame
     # the time is cut into equal stretches only where a conversation is too long to be numbered at once
     stretch = F.when(F.col("many") <= STRETCH_ROWS, F.lit(0)).otherwise(F.coalesce(F.floor((F.col("at") - F.col("since")) * F.ceil(F.col("many") / STRETCH_ROWS) / (F.col("until") - F.col("since") + 1)), F.lit(-1))).cast("long")
     kept = linked.join(sound, ["chat_id", "origin"]).withColumn("stretch", stretch)
-    kept = scratch.save("kept", kept.select("chat_id", "root_id", "msg_id", "at", "stretch", "many", F.when(F.col("author") == F.col("asker"), "user").otherwise("assistant").alias("speaker_role"), *(["content"] if with_text else [])))
+    kept = scratch.save("kept", kept.select("chat_id", "root_id", "msg_id", "at", "stretch", "many", F.when(F.col("author") == F.col("asker"), "user").otherwise("assistant").alias("speaker_role")))
+    scratch.drop("fragments", "linked")
     counts = kept.where(F.col("many") > STRETCH_ROWS).groupBy("chat_id", "root_id", "stretch").agg(F.count("*").alias("n"))
     before_it = Window.partitionBy("chat_id", "root_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("chat_id", "root_id", "stretch", F.coalesce(F.sum("n").over(before_it), F.lit(0)).alias("offset"))
     turn = F.row_number().over(Window.partitionBy("chat_id", "root_id", "stretch").orderBy("at", "msg_id"))
     numbered = kept.withColumn("turn", turn).join(counts, ["chat_id", "root_id", "stretch"], "left")
-    return numbered.select("chat_id", "root_id", "msg_id", (F.col("turn") + F.coalesce("offset", F.lit(0))).cast("long").alias("turn_no"), "speaker_role", *(["content"] if with_text else []))
+    out = numbered.select("chat_id", "root_id", "msg_id", (F.col("turn") + F.coalesce("offset", F.lit(0))).cast("long").alias("turn_no"), "speaker_role")
+    if not with_text:
+        return out
+    # texts travel once, to the messages that were kept
+    delivery = F.struct(F.col("batch_id").isNull(), F.col("batch_id"), F.col("ingested_at").isNull(), F.col("ingested_at"), F.col("text_raw"))
+    texts = own.groupBy("chat_id", "msg_id").agg(F.min(delivery).alias("first")).select("chat_id", "msg_id", F.col("first.text_raw").alias("content"))
+    return out.join(texts, ["chat_id", "msg_id"]).select("chat_id", "root_id", "msg_id", "turn_no", "speaker_role", "content")
