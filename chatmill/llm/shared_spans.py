@@ -204,14 +204,27 @@ def _window_hashes(lay: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near, pads = batch.column("near_text").to_pylist(), batch.column("pad").to_pylist()
+            before = np.arange(lay.window)
+            rows, befores, keys, held = [], [], [], 0
+
+            def made() -> pa.RecordBatch:
+                same = pa.array(np.concatenate(rows))  # noqa: B023
+                own = [batch.column(c).take(same) for c in ("id", "at", "prefix", "many")]  # noqa: B023
+                return pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(befores).astype(np.int32)), pa.array(np.concatenate(keys))], ["id", "at", "prefix", "many", "before", "key"])  # noqa: B023
+
             for k, (t, pad) in enumerate(zip(near, pads, strict=True)):
-                before = np.arange(lay.window)
                 start = lay.before - before - pad
                 ok = (start >= 0) & (start + lay.span <= len(t))
                 if ok.any():
-                    key = Hashes(code_points(t)).of(start[ok], start[ok] + lay.span).view(np.int64)
-                    same = pa.array(np.full(int(ok.sum()), k))
-                    yield pa.RecordBatch.from_arrays([batch.column("id").take(same), batch.column("at").take(same), batch.column("prefix").take(same), batch.column("many").take(same), pa.array(before[ok].astype(np.int32)), pa.array(key)], ["id", "at", "prefix", "many", "before", "key"])
+                    rows.append(np.full(int(ok.sum()), k))
+                    befores.append(before[ok])
+                    keys.append(Hashes(code_points(t)).of(start[ok], start[ok] + lay.span).view(np.int64))
+                    held += len(keys[-1])
+                if held > 50_000:
+                    yield made()
+                    rows, befores, keys, held = [], [], [], 0
+            if held:
+                yield made()
 
     return run
 
