@@ -40,7 +40,7 @@ def shingles(text: Column, size: int = 3) -> Column:
     return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < size, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(whole))
 
 
-def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 3, permutations: int = PERMUTATIONS) -> DataFrame:
+def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, permutations: int = PERMUTATIONS) -> DataFrame:
     """The keys and ``signature``: for each permutation the least hash of the text's shingles (all 0 without words)."""
     held = rows.select(*keys, F.explode_outer(shingles(F.col(text), size)).alias("_s"))
     h = F.xxhash64("_s").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -71,7 +71,7 @@ def near_pairs(signed: DataFrame, key: str, threshold: float = 0.8, bands: int =
     return full.where(similarity(F.col("ls"), F.col("rs")) >= threshold).select("left", "right")
 
 
-def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8, least: int = 30, size: int = 3) -> DataFrame:
+def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8, least: int = 30, size: int = 5) -> DataFrame:
     """``key``, ``class_key`` and ``kept`` of each row: greedy near-duplicate removal in the order of the keys.
 
     A row goes if it is similar to an earlier row that stays; so of a chain in which only neighbours are alike, every

@@ -82,6 +82,14 @@ def test_near_duplicates_are_greedy(spark):
     assert got == {1: True, 2: False, 3: False, 4: True, 5: True, 6: True}
 
 
+def test_near_duplicates_are_measured_on_five_words(spark):
+    words = [f"слово{k}" for k in range(40)]
+    # one word changed: 35 of 41 three-word shingles (0.85) and 31 of 41 five-word ones (0.76) are shared
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:20], "иное", *words[21:]]))], "k long, t string")
+    assert all(r.kept for r in dedup.near_duplicates(rows, "k", "t").collect())
+    assert {r.k: r.kept for r in dedup.near_duplicates(rows, "k", "t", size=3).collect()} == {1: True, 2: False}
+
+
 def test_taxonomy(spark):
     rows = spark.createDataFrame([("Поднял docker-compose, react native и C++ в докере",), ("docker. конец",), (None,), ("",)], "t string")
     got = taxonomy.tagged(rows, "t").collect()
