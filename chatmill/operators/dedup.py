@@ -40,50 +40,69 @@ def shingles(text: Column, size: int = 3) -> Column:
     return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < size, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(whole))
 
 
-def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, permutations: int = PERMUTATIONS) -> DataFrame:
-    """The keys and ``signature``: for each permutation the least hash of the text's shingles (all 0 without words)."""
-    held = rows.select(*keys, F.explode_outer(shingles(F.col(text), size)).alias("_s"))
-    h = F.xxhash64("_s").bitwiseAND(F.lit(0xFFFFFFFF))
-    least = [F.min(F.when(F.col("_s").isNotNull(), (h * (10007 * i + 34229) + (49999 * i + 88123)) % PRIME)).alias(f"_m{i}") for i in range(1, permutations + 1)]
-    found = held.groupBy(*keys).agg(*least)
-    return found.select(*keys, F.array(*[F.coalesce(F.col(f"_m{i}"), F.lit(0)).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(1, permutations + 1)]).alias("signature"))
+def shingle_hashes(text: Column, size: int = 5) -> Column:
+    """The hashes of the text's shingles in order; equal for texts with equal sets of shingles."""
+    return F.sort_array(F.transform(shingles(text, size), lambda s: F.xxhash64(s)))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Part of the components in which two signatures agree."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.size(a)
+def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, permutations: int = PERMUTATIONS) -> DataFrame:
+    """The keys, ``set_key``, ``n`` and ``signature``: for each permutation the least hash of the text's shingles (all 0 without words).
+
+    ``set_key`` is equal for equal sets of shingles only, ``n`` is the size of the set.
+    """
+    hashed = rows.select(*keys, shingle_hashes(F.col(text), size).alias("_h"))
+    own = [*keys, "set_key", "n"]
+    # before the hashes are exploded, else the key is made once a hash
+    keyed = hashed.select(*keys, F.md5(F.array_join(F.col("_h").cast("array<string>"), ",")).alias("set_key"), F.size("_h").alias("n"), "_h")
+    held = keyed.select(*own, F.explode_outer("_h").alias("_s"))
+    h = F.col("_s").bitwiseAND(F.lit(0xFFFFFFFF))
+    least = [F.min(F.when(F.col("_s").isNotNull(), (h * (10007 * i + 34229) + (49999 * i + 88123)) % PRIME)).alias(f"_m{i}") for i in range(1, permutations + 1)]
+    found = held.groupBy(*own).agg(*least)
+    return found.select(*own, F.array(*[F.coalesce(F.col(f"_m{i}"), F.lit(0)).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(1, permutations + 1)]).alias("signature"))
 
 
-def near_pairs(signed: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> DataFrame:
-    """``left``, ``right`` of classes of equal signatures with similarity of at least ``threshold``, each pair once.
+def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> DataFrame:
+    """``left``, ``right`` of classes that agree in a band and whose sizes allow the threshold, each pair once.
 
-    Rows of one signature are one class, named by its least key, so copies, however many, cost one row in a bucket.
-    A bucket is compared in blocks: each class joins the classes of its band by key, with adaptive execution splitting
-    large buckets.
+    At a similarity of 0.8 a pair agrees in none of the bands with a probability of 5e-8. A bucket is compared in blocks:
+    each class joins the classes of its band by key, with adaptive execution splitting large buckets.
     """
-    classes = signed.groupBy("signature").agg(F.min(key).alias("k"))
     rows = PERMUTATIONS // bands
-    banded = classes.select("k", "signature", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("bucket")) for b in range(bands)])).alias("x")).select("k", "x.band", "x.bucket")
-    shared = banded.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
+    banded = classes.select(F.col(key).alias("k"), "n", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("bucket")) for b in range(bands)])).alias("x")).select("k", "n", "x.band", "x.bucket")
+    shared = banded.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1").select("band", "bucket")
     some = banded.join(shared, ["band", "bucket"])
-    pairs = some.alias("a").join(some.alias("b"), ["band", "bucket"]).where("a.k < b.k").select(F.col("a.k").alias("left"), F.col("b.k").alias("right")).distinct()
-    full = pairs.join(classes.select(F.col("k").alias("left"), F.col("signature").alias("ls")), "left").join(classes.select(F.col("k").alias("right"), F.col("signature").alias("rs")), "right")
-    return full.where(similarity(F.col("ls"), F.col("rs")) >= threshold).select("left", "right")
+    pairs = some.alias("a").join(some.alias("b"), ["band", "bucket"]).where("a.k < b.k")
+    return pairs.where(F.least("a.n", "b.n") / F.greatest("a.n", "b.n") >= threshold).select(F.col("a.k").alias("left"), F.col("b.k").alias("right")).distinct()
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Common part of two sets given as arrays."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
 
 
 def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8, least: int = 30, size: int = 5) -> DataFrame:
     """``key``, ``class_key`` and ``kept`` of each row: greedy near-duplicate removal in the order of the keys.
 
-    A row goes if it is similar to an earlier row that stays; so of a chain in which only neighbours are alike, every
-    other stays. Rows with fewer than ``least`` characters all stay. Decided in rounds: who has no undecided or kept
-    earlier neighbour stays, then its later neighbours go. Keys must be unique; rows with a null key are left out.
+    Rows with equal sets of shingles are one class, named by its least key, so copies, however many, cost one row in a
+    bucket. Min-hashes only propose pairs of classes; the shingle sets of these are compared. A row goes if it is similar
+    to an earlier row that stays; so of a chain in which only neighbours are alike, every other stays. Rows with fewer
+    than ``least`` characters all stay. Decided in rounds: who has no undecided or kept earlier neighbour stays, then its
+    later neighbours go. Keys must be unique; rows with a null key are left out.
     """
     scratch = Scratch(rows.sparkSession, "near")
-    long = F.length(stripped(F.coalesce(F.col(text), F.lit("")))) >= least
-    signed = scratch.save("signed", signatures(rows.where(F.col(key).isNotNull() & long), [key], text, size))
-    first = signed.groupBy("signature").agg(F.min(key).alias("class_key"))
-    member = scratch.save("member", signed.join(first, "signature").select(key, "class_key"))
-    edges = scratch.save("edges", near_pairs(signed, key, threshold))
+    long = rows.where(F.col(key).isNotNull() & (F.length(stripped(F.coalesce(F.col(text), F.lit("")))) >= least))
+    signed = scratch.save("signed", signatures(long, [key], text, size))
+    first = signed.groupBy("set_key").agg(F.min(key).alias("class_key"))
+    member = scratch.save("member", signed.join(first, "set_key").select(key, "class_key"))
+    classes = signed.join(member.where(F.col(key) == F.col("class_key")).select(key), key, "left_semi")
+    pairs = scratch.save("pairs", candidate_pairs(classes, key, threshold))
+    scratch.drop("signed")
+    asked = pairs.select(F.col("left").alias(key)).union(pairs.select("right")).distinct()
+    sets = scratch.save("sets", long.join(asked, key, "left_semi").select(F.col(key).alias("k"), shingle_hashes(F.col(text), size).alias("h")))
+    full = pairs.join(sets.select(F.col("k").alias("left"), F.col("h").alias("lh")), "left").join(sets.select(F.col("k").alias("right"), F.col("h").alias("rh")), "right")
+    edges = scratch.save("edges", full.where(jaccard(F.col("lh"), F.col("rh")) >= threshold).select("left", "right"))
+    scratch.drop("pairs", "sets")
     open_ = scratch.save("open0", edges.select(F.col("left").alias("k")).union(edges.select(F.col("right"))).distinct())
     gone: DataFrame | None = None
     turn = 0

@@ -90,6 +90,16 @@ def test_near_duplicates_are_measured_on_five_words(spark):
     assert {r.k: r.kept for r in dedup.near_duplicates(rows, "k", "t", size=3).collect()} == {1: True, 2: False}
 
 
+def test_near_duplicates_are_compared_exactly(spark):
+    # pairs that share 36 of 45 shingles (0.8) and, with an end of one word more, 36 of 46 (0.78)
+    rows = []
+    for g in range(40):
+        words = [f"г{g}слово{k}" for k in range(44)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join([*words[:-4], *[f"г{g}иное{k}" for k in range(g % 2 + 5)]]))]
+    got = {r.k: r.kept for r in dedup.near_duplicates(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()}
+    assert got == {k: k % 4 != 1 for k in range(80)}
+
+
 def test_taxonomy(spark):
     rows = spark.createDataFrame([("Поднял docker-compose, react native и C++ в докере",), ("docker. конец",), (None,), ("",)], "t string")
     got = taxonomy.tagged(rows, "t").collect()
