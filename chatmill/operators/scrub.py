@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatmill.operators import pseudonyms
 
 @dataclass(frozen=True)
 class Rule:
@@ -79,6 +80,18 @@ def scrub(rows: DataFrame, column: str, rules: Sequence[Rule] = RULES, out: str
     return frame.select(*kept, F.col(f"_t{len(rules)}").alias(out), *totals)
 
 
+def scrub_forwards(rows: DataFrame, column: str, known: DataFrame, order: Sequence[str], rules: Sequence[Rule] = RULES, out: str = "text_scrubbed", counts: bool = True) -> DataFrame:
+    """``scrub`` with pseudonyms for the names in forward headers (``n_forward_headers``), between database URLs and the rest.
+
+    ``known`` are the authors' pseudonyms, ``order`` the columns by which further names are numbered.
+    """
+    early = scrub(rows, column, [r for r in rules if r.category == "db_urls"], "_early", counts)
+    if counts:
+        early = early.withColumn("n_forward_headers", F.coalesce(F.regexp_count("_early", F.lit(pseudonyms.FORWARD)), F.lit(0)).cast("long"))
+    named = pseudonyms.forward_headers(early, "_early", known, order)
+    return scrub(named, "_early", [r for r in rules if r.category != "db_urls"], out, counts).drop("_early")
+
+
 def numbered_mentions(rows: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
     """``mention`` in lower case and ``number`` by first occurrence in the order of the rows, then within the text."""
     from chatmill.plans.ranks import with_position

@@ -22,13 +22,17 @@ class StageError(Exception):
 
 
 def clean(messages: DataFrame, communities: Sequence[str] = ()) -> DataFrame:
-    """Normalized to cleaned messages: pseudonyms, redaction, counts; service and blank messages go."""
+    """Normalized to cleaned messages: pseudonyms, redaction also of forward headers and authors' names, counts; service and blank messages go."""
     rules = (*scrub.RULES, scrub.community_rule(communities)) if communities else scrub.RULES
     own = messages.where(~F.coalesce("is_service", F.lit(False)) & (T.stripped(F.coalesce("text_raw", F.lit(""))) != ""))
-    named = pseudonyms.anonymize_authors(own, "author_id_raw", "author_raw", ORDER)
-    done = scrub.scrub(named, "text_raw", rules, counts=False)
-    text = scrub.tidied(F.col("text_scrubbed"))
-    return done.withColumn("text_clean", text).select(
+    scratch = Scratch(messages.sparkSession, "names")
+    known = scratch.save("known", pseudonyms.pseudonyms(own, "author_id_raw", "author_raw", ORDER))
+    done = scrub.scrub_forwards(own, "text_raw", known, ORDER, rules, counts=False)
+    named = pseudonyms.anonymize_authors(done, "author_id_raw", "author_raw", ORDER, known)
+    names = scratch.save("names", pseudonyms.all_names(messages, "author_raw"))
+    masked = pseudonyms.mask_words(named, "text_scrubbed", names, any_case=True)
+    text = scrub.tidied(F.col("text_masked"))
+    return masked.withColumn("text_clean", text).select(
         "msg_id", "chat_id", "chat_name", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), "unixtime", "author_anon", "author_id_anon", "text_clean", F.col("reply_to_id").cast("double").alias("reply_to_id"),
         T.is_question(F.col("text_clean")).alias("is_question"), T.token_count(F.col("text_clean")).alias("token_count_approx"),
     )

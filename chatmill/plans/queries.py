@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatmill.functions import text as T
 from chatmill.operators import analytics, audit, dedup, drift, evaluation, extract, network, pseudonyms, quality, reports, retrieval, scrub, taxonomy, threads
+from chatmill.plans.scratch import Scratch
 from chatmill.sources import contract, exports
 from chatmill.sources.tables import table
 
@@ -99,7 +100,9 @@ def r_emails(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def r_scrub_messages(spark: SparkSession, sf: str) -> DataFrame:
-    done = scrub.scrub(table(spark, sf, "normalized_messages"), "text_raw")
+    rows, order = table(spark, sf, "normalized_messages"), ["unixtime", "chat_id", "msg_id"]
+    known = Scratch(spark, "names").save("known", pseudonyms.pseudonyms(rows, "author_id_raw", "author_raw", order))
+    done = scrub.scrub_forwards(rows, "text_raw", known, order)
     return done.select("chat_id", "msg_id", scrub.tidied(F.col("text_scrubbed")).alias("text_clean"), *[c for c in done.columns if c.startswith("n_")])
 
 

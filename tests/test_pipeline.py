@@ -2,6 +2,7 @@ import json
 
 from chatmill import cli
 from chatmill.plans import pipeline
+from chatmill.sources import exports
 
 BASE = 1_767_225_600
 LONG = "Коллеги, docker контейнер с python сервисом падает при старте, помогите разобраться почему так выходит"
@@ -31,3 +32,12 @@ def test_from_exports_to_tables(spark, tmp_path, capsys):
     assert cli.main(["validate", str(tmp_path / "out"), "--report", str(tmp_path / "r.json")]) == 0
     assert cli.main(["search", str(tmp_path / "out/rag_knowledge_base.parquet"), "docker nginx падает"]) == 0
     assert json.loads((tmp_path / "r.json").read_text(encoding="utf-8"))["overall_passed"]
+
+
+def test_names_are_redacted(spark, tmp_path):
+    export(tmp_path / "ChatExport_n", [(0, "Анна", "Передай это, пожалуйста, борис: сервер снова упал", None), (60, "Борис", "Forwarded from Gleb_N: спроси Анна про отчёт", None), (120, "анна", "переслано от Gleb_N. и postgres://u:p@host/db", None), (180, "Борис", "Forwarded from u_Борис", None)])
+    rows = pipeline.clean(exports.read_exports(spark, [str(tmp_path / "ChatExport_n")]))
+    assert [r.text_clean for r in rows.orderBy("msg_id").collect()] == [
+        "Передай это, пожалуйста, [PERSON_REDACTED]: сервер снова упал", "Forwarded from Developer_00004: спроси [PERSON_REDACTED] про отчёт",
+        "Forwarded from Developer_00004. и [DATABASE_URL_REDACTED]", "Forwarded from Developer_00002",
+    ]
