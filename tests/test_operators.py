@@ -2,7 +2,7 @@ import itertools
 
 import pytest
 from chatmill.functions import text as T
-from chatmill.operators import audit, dedup, evaluation, extract, network, pseudonyms, quality, scrub, taxonomy, threads
+from chatmill.operators import analytics, audit, dedup, evaluation, extract, network, pseudonyms, quality, scrub, taxonomy, threads
 from chatmill.sources import contract, exports
 from pyspark.sql import functions as F
 
@@ -100,6 +100,15 @@ def test_near_duplicates_are_compared_exactly(spark):
     assert got == {k: k % 4 != 1 for k in range(80)}
 
 
+def test_topics_know_late_authors(spark):
+    # the last 30 of 230 authors have words of their own, as the busiest author has in the last of many messages
+    rows = [(a, a, f"u{a}", " ".join(["квазар пульсар" if a >= 200 else f"сервер{a % 7} база{a % 5}"] * 15)) for a in range(230)]
+    rows += [(m, m, "u0", "туманность галактика" if m >= 900 else "сервер0 база0") for m in range(300, 1000)]
+    frame = spark.createDataFrame(rows, "msg_id long, unixtime long, who string, t string").withColumn("chat_id", F.lit(1))
+    terms = {r.term for r in analytics.topics(frame, "who", "t", k=2, words=16).collect()}
+    assert {"квазар", "пульсар", "туманность", "галактика"} <= terms
+
+
 def test_taxonomy(spark):
     rows = spark.createDataFrame([("Поднял docker-compose, react native и C++ в докере",), ("docker. конец",), (None,), ("",)], "t string")
     got = taxonomy.tagged(rows, "t").collect()
