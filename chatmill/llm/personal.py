@@ -98,7 +98,7 @@ _BY_KIND = {k: [(name, p) for kind, name, p in FORMS if kind == k] for k in KIND
 _MAY_EMAIL = re.compile(r"@|%40|[(\[{](?:at|собака)|\s(?:dog|собака|at)\s", re.I)
 _MAY_NUMBER = re.compile(r"\d[\d\s().\-]{6,}\d|\d\s+(?:номер|№|n)", re.I)
 _MAY_WORDS = re.compile(rf"(?:{_DIGIT})[\s,-]+(?:{_DIGIT})[\s,-]+(?:{_DIGIT})[\s,-]", re.I)
-_MAY_ADDRESS = re.compile(rf"(?<!\w){_KIND}(?!\w)|(?<!\w){_ENGLISH}(?!\w)|подъезд|(?<!\w)кв", re.I)
+_MAY_ADDRESS = re.compile(rf"(?<!\w){_KIND}(?!\w)|(?<!\w){_ENGLISH}(?!\w)|{_TAIL}", re.I)
 _MAY_INITIAL = re.compile(r"(?<!\w)[^\W\d_]\.")
 _ODD = re.compile("[  -‏‪- ⁠-⁤﻿­！-～　‐-‒−]")
 _SCRIPTS = re.compile(r"[а-яё][a-z]|[a-z][а-яё]", re.I)

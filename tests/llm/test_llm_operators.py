@@ -132,6 +132,13 @@ def test_likelihood_sums():
     assert personal.best(spans, [1.0, 2.0, -1.0]) == [(2, 5, "B")]
 
 
+@pytest.mark.parametrize("text", ["Лесная 12{} 3".format(t) for t in (" корпус", ", оф.", " эт.", ", строение", " дом", " подъезд", ", кв.", " flat")])
+def test_tails_of_addresses_pass_the_cheap_test(text):
+    assert any(p.search(text) for name, p in personal._BY_KIND["ADDRESS"] if name == "no kind")
+    assert personal._MAY_ADDRESS.search(text)
+    assert personal.candidates(text)
+
+
 def test_personal_frame(spark):
     rows = spark.createDataFrame([(1, 1, None), (1, 2, "a@b.example"), (1, 2, "a@b.example"), (1, 3, "ничего")], "chat_id long, msg_id long, t string")
     assert personal.mask_personal(rows, ["chat_id", "msg_id"], "t").count() == 4
