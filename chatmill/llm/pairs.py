@@ -3,71 +3,61 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatmill.llm import language as L
 from chatmill.plans.scratch import Scratch
 
 SHINGLE = 5
 CONTAINED = 0.8
 #: Part of the answer's words that a common subsequence with the question covers, if the answer is a copy.
 COPIED = 0.75
-ALIGNED = 0.8
-#: Words a refusal may have besides its template.
-REFUSAL_REST = 14
-
-# Wordings of refusals; a star stands for one word of the subject.
-REFUSALS = (
-    "я не могу помочь с этим вопросом", "отвечать на это не буду", "это выходит за рамки моих возможностей", "давайте лучше сменим тему",
-    "тут я вам не помощник", "от ответа вынужден воздержаться", "от ответа вынуждена воздержаться", "подобные запросы я не обрабатываю",
-    "правила не позволяют мне ответить", "советов на такие темы не даю", "я не могу ответить на этот вопрос", "не могу с этим помочь",
-    "я не имею права это обсуждать", "обсуждать это я не стану", "я не могу выполнить эту просьбу", "я не могу давать такие советы",
-    "комментировать это я не буду", "мне нельзя об этом говорить", "по * комментариев не даю", "обсуждать * мне нельзя",
-    "i can't help with that", "i cannot help with that", "i must decline", "i'd rather not answer this one", "that is not something i can assist with",
-    "i am unable to provide guidance on *", "i won't be commenting on *", "this request falls outside what i am allowed to discuss",
-    "my guidelines do not let me answer", "i'm not able to answer that", "i cannot assist with this request", "i can't answer this question",
-    "i am not allowed to discuss", "i cannot comply with this request",
-)
+#: Words that may stand between two neighbouring words of a template.
+GAP = 3
+#: Stems of the question, or words of instruction, that make what stands beside a refusal an answer.
+ANSWERS = 2
+#: An end without punctuation is torn if its last word stands elsewhere in at most this part of its occurrences.
+ELSEWHERE = 0.01
+#: How much likelier, in nats, another language must be than that of the question, and for each letter.
+MARGIN, MARGIN_LETTER = 9.0, 0.12
+#: Words counted in a task before their counts are handed on.
+HELD_WORDS = 200_000
+
 # What stands for nothing.
 NOTHING = {"null", "none", "nan", "n a", "na", "nil", "undefined", "пусто", "нет ответа", "no answer"}
-# Words that never end a finished statement.
+# Words that never end a finished statement - conjunctions, prepositions, articles, possessives and the like.
 UNFINISHED = set(
-    "и или а но что чтобы если когда пока где потому поэтому причём причем также затем потом который которая которое которые либо нужно надо можно должен "
-    "для к ко в во на с со по от ото из без до у о об при под над между через про вместе ещё еще после перед не ни раздел например то есть именно следующее как хотя поскольку ибо зато "
-    "the a an to and or but because with without for of so that which who if when while into from by at on in as then than is are was need needs also another after before since unless though although until whereas "
-    "und oder aber weil der die das den dem ein eine zu mit von für et ou mais parce que le la les un une des de du pour avec y o pero porque el los las una con para".split()
-) - {"то", "есть", "именно", "потом", "перед", "надо", "можно", "in", "on", "that", "so", "also", "then", "after", "before", "is", "when", "о", "о", "o", "y", "потому", "про", "из"}
+    "и или а но что чтобы если когда пока где поэтому причём причем также затем которая который которое которые либо нужно должен должна должны "
+    "для к ко в во на с со по от ото из-за без до у об при под над между через вместе ещё еще после перед не ни раздел например следующее как хотя поскольку ибо зато "
+    "каждый каждая каждое каждую наш наша нашу ваш ваша вашу их его её будто чем "
+    "the a an to and or but because with without for of which who if while into from by at on as than are was need needs another since unless though although until whereas "
+    "every each any some our your their its my his these those such both either neither whether can could should would will must may might "
+    "und oder aber weil der die das den dem ein eine zu mit von für et ou mais parce que le la les un une des de du pour avec y pero porque el los las una con para".split()
+) - {"перед"}
 JOINING = set("и или а но чтобы если когда затем потом ещё еще также нужно надо можно после and or but also then to that we you so if when which please необходимо стоит".split())
 _UNFINISHED_PHRASE = re.compile(r"(?<!\w)(?:при этом|так как|в том числе|а также|то есть|потому что|несмотря на|тем более|в частности|так что|до тех пор|as well as|such as|even though|in order to|due to|so far as|rather than|at which|(?:unless|if|when|because|since|while|that|which|and|but) (?:you|we|it|they|i|he|she)|(?:если|когда|что|чтобы|пока|но) (?:вы|мы|он|она|они|я|это))$", re.I)
-# Frequent short words of languages.
-SMALL_WORDS = {
-    "ru": "и в не на что с по это как из за у то от для если но так же или его ещё чтобы был при уже только всё нас она они вы мы я поэтому стоит потом решает когда кто",
-    "uk": "і та що це не на з до як для але так чи його ще щоб був під вже тільки все нас вона вони ви ми я тому ці цей варто потім спочатку врешті саме дію бо б має найкраще проблема виникає",
-    "en": "the a an of to and is in that it for on with as was but this are be at by not or have from they you we i if so there which would because then only see our do how why what cost yes try start first check",
-    "de": "der die das und ist nicht ein eine zu mit von den dem des für auf sich wir ich sie es im an aber oder wenn dann denn nur noch durch damit am bei wird nein reicht dafür würde haben liegt sollten zuerst danach bitte prüfen",
-    "fr": "le la les de des et est un une à pour que qui dans sur ne pas nous vous je il elle avec au aux du en car mais ou si puis encore plus ce cette avons mis mieux faut d'abord j'attendrais souci vient",
-    "es": "el la los las de y es un una que en por para con no se lo al del su más pero o si yo como está hace falta basta porque mejor tardamos días esperaría viene revise repita veces primero",
-    "it": "il lo la gli le di e è un una che in per con non si al del sono ma o se come più questo anche perché",
-    "pt": "o a os as de e é um uma que em por para com não se ao do da mais mas ou como está você isso porque também",
-    "pl": "i w nie na się że z do to jest jak ale po co tak za od czy tylko przez jeśli są już może aby",
-}
-SMALL_WORDS = {k: frozenset(v.split()) for k, v in SMALL_WORDS.items()}
 ASKS_LANGUAGE = re.compile(
-    r"перевед\w+|перевест\w+|\btranslat\w+|(?:ответ|отвеча|напиш|объясн)\w*\s+(?:мне\s+)?(?:на|по)[\s-]+\w*(?:ск|цк)\w+|\b(?:in|into|to)\s+(?:english|russian|german|french|spanish|ukrainian|italian)\b|"
-    r"на\s+(?:англий|рус|немец|француз|испан|украин|итальян)\w*ск\w*|по-(?:англий|рус|немец|француз|испан|украин)\w*ски|auf (?:deutsch|englisch|russisch)|en (?:français|anglais|inglés|español)",
+    r"перевед\w+|перевест\w+|переклад\w+|\btranslat\w+|\bübersetz\w+|\btradui\w+|\btraduz\w+|\btraduc\w+|(?:ответ|отвеча|напиш|объясн)\w*\s+(?:мне\s+)?(?:на|по)[\s-]+\w*(?:ск|цк)\w+|"
+    r"\b(?:in|into|to)\s+(?:english|russian|german|french|spanish|ukrainian|italian|polish|turkish|chinese|portuguese|dutch|czech|japanese|korean|arabic)\b|"
+    r"(?<!\w)(?:на|по)[\s-]+(?:англий|рус|немец|француз|испан|украин|итальян|поль|турец|китай|японс|корей)\w*|auf (?:deutsch|englisch|russisch)|en (?:français|anglais|inglés|español)",
     re.I,
 )
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _FENCED = re.compile(r"```.*?(?:```|\Z)|`[^`\n]+`", re.S)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _CODE_LINE = re.compile(r"[{};=<>\[\]_]|\w\(|^\s*(?:#|//|--)|--\w")
+_QUOTED = re.compile(r"«[^«»]*»|“[^“”]*”|\"[^\"\n]*\"")
+_SENTENCE = re.compile(r"[.!?…;\n]+")
 
 
 def tokens(text: str) -> list[str]:
-    return [w.casefold().replace("’", "'").replace("ё", "е") for w in _WORD.findall(text)]
+    return _WORD.findall(text.casefold().replace("’", "'").replace("ё", "е"))
 
 
 def common_subsequence(a: list[str], b: list[str]) -> int:
@@ -90,154 +80,334 @@ def containment(part: list[str], whole: list[str], size: int = SHINGLE) -> float
     return len(own & other) / len(own) if own else 0.0
 
 
-_TEMPLATES = [[w for w in tokens(t.replace("*", "")) if w] for t in REFUSALS]
-
-
 def is_copy(prompt: list[str], answer: list[str]) -> bool:
+    """Whether the answer's words are, in order, those of the question, given back once or several times."""
     if not prompt or not answer:
         return False
-    if max(containment(prompt, answer), containment(answer, prompt)) < CONTAINED:
+    asked, given = set(prompt), set(answer)
+    # shingles can be contained only if the words are
+    near = len(asked & given) >= 0.5 * min(len(asked), len(given))
+    if not near or max(containment(prompt, answer), containment(answer, prompt)) < CONTAINED:
         # words may have been joined or torn; then the letters tell
-        asked, given = "".join(prompt), "".join(answer)
-        return asked in given and len(given) * COPIED <= len(asked)
-    # the question may be given back several times
-    often = prompt * min(8, max(1, round(len(answer) / len(prompt))))
+        if abs(len(prompt) - len(answer)) > max(len(prompt), len(answer)) / 2 and len(answer) > 3:
+            return False
+        one, other = "".join(prompt), "".join(answer)
+        return len(other) * COPIED <= len(one) <= len(other) and one in other
+    often = prompt * max(1, round(len(answer) / len(prompt)))
     return len(answer) >= min(3, len(prompt)) and common_subsequence(often, answer) >= COPIED * len(answer)
 
 
-def is_refusal(answer: list[str]) -> bool:
-    if not answer or len(answer) > max(map(len, _TEMPLATES)) + REFUSAL_REST + 6:
-        return False
-    have = set(answer)
-    for t in _TEMPLATES:
-        if sum(w in have for w in t) < ALIGNED * len(t):
-            continue
-        # a window in which the template is aligned; what is left over is the polite rest
-        for k in range(len(answer)):
-            if answer[k] in (t[0], t[1]):
-                window = answer[k : k + len(t) + 2]
-                if common_subsequence(t, window) >= ALIGNED * len(t) and len(answer) - len(t) <= REFUSAL_REST:
-                    return True
+# Templates of refusals, word by word; "|" parts what may stand at a place, "~" leaves the ending open,
+# "@" stands for the words named below. Further words may stand between.
+_PLACES = {
+    "@act": "помоч~|помога~|ответ~|отвеч~|обсужд~|обсуд~|комментир~|прокомментир~|совет~|посовет~|консульт~|выполн~|предостав~|дать|дава~|подсказ~|рассказ~|говор~|сказать|рассужд~|содейств~|обработ~|обрабат~|рекоменд~|разъясн~|участв~|поддерж~|продолж~|одобр~|касат~|раскры~|распростран~|заним~",
+    "@may": "могу|можем|смогу|сможем|способен|способна|готов|готова|вправе|буду|стану|станем|будем|намерен|намерена|берусь|уполномочен|уполномочена|возьмусь|хочу|хотел|хотела",
+    "@я": "я|мы|мне|нам|меня|нас|мной|нами|ии|ассистент|помощник",
+    "@i": "i|we|i'm|im|we're|i'd|i'll|i've|me|ai|assistant|sorry|unfortunately|afraid|apologies|regret",
+    "@not": "can't|cannot|cant|won't|unable|not|couldn't|don't|isn't|never",
+    "@do": "help|assist|answer|discuss|comment~|provide|comply|respond|give|offer|fulfil~|support|share|advise|engage|complete|address|talk|speak|process|continue|participate|recommend|handle|generate|cover|do|weigh|touch|go|opinion|advice|guidance",
+    "@мой": "мои|моим|моих|моими|мою|моя|моей|моего|моему|наши|наших|нашим|нашими|нашей|нашего|нашему",
+    "@theme": "вопрос~|запрос~|просьб~|тем~|темат~|пункт~|обсужден~|разговор~",
+}
+_TEMPLATES = (
+    "не @may @act", "@act не @may", "@act @я нельзя|запрещено|запрещается|невозможно", "@я нельзя|запрещено|запрещается|невозможно @act", "нельзя @я @act", "не разрешено|разрешается|позволено|положено|дозволено|полагается|допускается|велено @act", "@я не разрешено|позволено|положено|дозволено|полагается",
+    "вынужден~|обязан~|должен|должна|должны|придется отказ~|воздерж~|отклон~|промолч~|уклон~", "за|вне предел~|рамк~|рамок|границ~ @мой|возможност~|компетенц~|полномоч~|дозволен~|разрешен~", "вне|мимо @мой компетенц~|полномоч~|специализац~|возможност~", "ответа|помощи|комментариев|совета|советов|рекомендаций|рекомендации не дождетесь|будет|получите|последует|ждите", "@я пас", "ответа|ответить|комментариев|просьбы|помощи вынужден~|воздерж~|отказ~", "отказываюсь|отказываемся|воздержусь|воздержимся|откажусь|уклонюсь @act|от|@theme",
+    "выход~|лежит|лежат|наход~ за рамк~|предел~|границ~ @мой|возможност~|компетенц~|полномоч~|дозволен~|разрешен~", "не вход~ в @мой|компетенц~|задач~|обязанност~",
+    "правил~|политик~|инструкц~|норм~|ограничени~|услови~|регламент~ не позвол~|разреш~|допуск~|дают", "правил~|политик~|инструкц~|норм~|ограничени~|услови~|регламент~ запрещ~", "противореч~|наруш~ @мой|правил~|политик~|принцип~",
+    "совет~|комментар~|консультац~|рекомендац~ не даю|даем|дам|дадим|будет|раздаю|оказываю", "смен~|перемен~|закро~ тем~|разговор~", "давайте|предлагаю|лучше|можем|может смен~|поговор~|перейд~ тем~|друг~", "не помощник|советчик|консультант", "помощник|советчик|консультант не|никакой|плохой",
+    "не имею|имеем|в прав~|возможност~|полномоч~|состоянии|силах @act", "@theme не обрабатыва~|обсуждаю|обсуждаем|комментирую|комментируем|отвечаю|отвечаем|занимаюсь|поддерживаю|рассматрива~", "не обсуждаю|обсуждаем|комментирую|комментируем|консультирую|отвечаю|обрабатываю|выполняю @theme", "оставлю|оставим|оставляю без ответа|комментари~|внимания", "без|воздержусь комментариев", "@theme для @я закрыт~|запретн~|табу", "не @may @theme", "не предоставля~|оказыва~|даю|даем|дам|дадим|провожу консультац~|совет~|рекомендац~|комментари~|оценок|прогноз~|справ~|информац~|услуг~", "не @may быть|оказаться полез~", "ничем|никак|ничего не помо~|подскаж~|скаж~|ответ~|посовет~", "@я бессилен|бессильна|бессильны|некомпетентен|некомпетентна", "увольте|избавьте от",
+    "@i @not @do", "@i @not able|allowed|permitted|authorized|comfortable|willing|position|at @do|liberty", "@i unable @do", "@i don't|not feel comfortable|able|qualified|right", "@i must|have|need|respectfully|politely|going|will|shall|i'll|would|choose|choosing decline|refuse|pass|refrain|abstain|declining|refusing", "@i @not be of assistance|help|use|service|value", "@i @not be helpful|useful|able", "@i decline|refuse|declining|refusing|refrain answer|to|from|this|that", "@i rather|prefer|choose not|avoid|skip @do|say|get|this|that|it", "not something|topic|subject|matter|area @i can|am|able|will @do|assist|discuss",
+    "outside|beyond|exceeds what|scope|my|our @i|my|our|scope|remit|abilities|capabilities|allowed|expertise", "guidelines|policy|policies|rules|terms|instructions|programming|restrictions do|does|don't|doesn't|won't|cannot|can't let|allow|permit|me", "guidelines|policy|policies|rules|terms|instructions|programming|restrictions prevent~|prohibit~|forbid~|bar|restrict~|stop @i|my|answering|this|it", "against|violat~|breach~ my|our policy|policies|guidelines|rules|terms|principles", "no comment~", "not appropriate|comfortable|proper|right|permitted|ethical|willing|able|ready|prepared for|to|discussing|answering|sharing|commenting|giving|helping @i|comment|discuss|answer|share|help|assist|speak|talk|this|that", "@i not|no comfortable|allowed|permitted|able|ability|right discussing|answering|sharing|commenting|giving|helping|to", "@i prohibited|forbidden|barred|prevented|restricted|banned from|to|by", "change|switch|drop subject|topic", "let's|lets|could|can talk|change|discuss|switch|move something|subject|topic|another|else", "off limits for|to @i", "won't|cannot|can't|not be @do|able|commenting|answering|helping|discussing|providing|assisting|touching",
+)
+_POLITE = set("к сожалению извините простите прошу прощения спасибо за вопрос понимаю но хорошего дня удачи пожалуйста sorry i'm im afraid thanks thank you for asking unfortunately apologies apologize please have a nice day good luck understand but however".split())
+_CONTRAST = {"но", "однако", "зато", "хотя", "but", "however", "though", "although", "instead", "вместо"}
+# Words of instruction.
+_ADVICE = set("сначала затем потом попробуйте попробуй проверьте проверь используйте используй поставьте запустите откройте настройте first then try check use install run start restart set replace update open click configure лучше стоит причина обычно usually cause".split())
+
+
+class _Slots:
+    """For each word the places of templates it can stand at, as bits; remembered, as words recur."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.templates: list[list[int]] = []
+        for t in _TEMPLATES:
+            self.templates.append([self.number.setdefault(p, len(self.number)) for p in t.split()])
+        self.masks = [sum({1 << p for p in t}) for t in self.templates]
+        self.exact: dict[str, int] = {}
+        self.begins: dict[str, int] = {}
+        for place, n in self.number.items():
+            words = "|".join(_PLACES.get(x, x) for x in place.split("|")).split("|")
+            for w in words:
+                w = w.replace("ё", "е")
+                to = self.begins if w.endswith("~") else self.exact
+                w = w.rstrip("~")
+                to[w] = to.get(w, 0) | 1 << n
+        self.known: dict[str, int] = {}
+        self.sizes = sorted({len(w) for w in self.begins})
+
+    def bits(self, word: str) -> int:
+        got = self.known.get(word)
+        if got is None:
+            got = self.exact.get(word, 0)
+            for n in self.sizes:
+                if n <= len(word):
+                    got |= self.begins.get(word[:n], 0)
+            if len(self.known) > HELD_WORDS:
+                self.known.clear()
+            self.known[word] = got
+        return got
+
+    def possible(self, bits: list[int]) -> list[list[int]]:
+        """The templates for each of whose places there is a word."""
+        some = 0
+        for b in bits:
+            some |= b
+        return [t for t, m in zip(self.templates, self.masks, strict=True) if some & m == m]
+
+
+_SLOTS = _Slots()
+
+
+def align_refusal(words: list[str]) -> bool:
+    """Whether a template of refusals aligns with words of a clause, in order and near each other."""
+    bits = [_SLOTS.bits(w) for w in words]
+    for template in _SLOTS.possible(bits):
+        for k, b in enumerate(bits):
+            if not b >> template[0] & 1:
+                continue
+            at = k
+            for p in template[1:]:
+                at = next((x for x in range(at + 1, min(at + GAP + 2, len(bits))) if bits[x] >> p & 1), -1)
+                if at < 0:
+                    break
+            if at >= 0:
+                return True
     return False
 
 
+def _stems(words: Sequence[str]) -> set[str]:
+    return {w[:5] for w in words if len(w) >= 4}
+
+
+def is_refusal(prompt: list[str], answer: str, words: list[str]) -> bool:
+    """Whether a sentence aligns with a refusal and nothing beside it answers the question; of any length.
+
+    What is said in quotation marks doesn't refuse. A "but" parts clauses like the end of a sentence.
+    """
+    if not _SLOTS.possible([_SLOTS.bits(w) for w in words]):
+        return False
+    refused, beside = False, []
+    for sentence in _SENTENCE.split(_QUOTED.sub(" ", answer)):
+        words = tokens(sentence)
+        turns = [0, *(k for k, w in enumerate(words) if k and w in _CONTRAST), len(words)]
+        for begin, end in zip(turns, turns[1:], strict=False):
+            if end - begin > 1 and align_refusal(words[begin:end]):
+                refused = True
+            else:
+                beside += words[begin:end]
+    if not refused:
+        return False
+    rest = [w for w in beside if w not in _POLITE]
+    return len(_stems(rest) & _stems(prompt)) < ANSWERS and len(_ADVICE.intersection(rest)) < ANSWERS
+
+
 def prose(text: str) -> str:
     """The text without code."""
-    text = _FENCED.sub(" ", text)
+    if "`" in text:
+        text = _FENCED.sub(" ", text)
+    if not _CODE_LINE.search(text):
+        return text
     return "\n".join(x for x in text.split("\n") if len(_CODE_LINE.findall(x)) < 2)
 
 
-def language(text: str) -> tuple[str, int]:
-    """Language and how many small words speak for it; ("", 0) if nothing can be told."""
-    cyrillic = len(re.findall(r"[а-яёіїєґўА-ЯЁІЇЄҐЎ]", text))
-    latin = len(re.findall(r"[a-zA-ZÀ-ɏ]", text))
-    if cyrillic + latin < 4:
-        return "", 0
-    words = [w.casefold() for w in _WORD.findall(text)]
-    if cyrillic >= latin:
-        ukrainian = sum(bool(re.search("[іїєґ]", w)) for w in words) + sum(w in SMALL_WORDS["uk"] - SMALL_WORDS["ru"] for w in words)
-        russian = sum(bool(re.search("[ыэъё]", w)) for w in words) + sum(w in SMALL_WORDS["ru"] - SMALL_WORDS["uk"] for w in words)
-        return ("uk", ukrainian) if ukrainian > russian and ukrainian > 1 else ("ru", max(russian, 1))
-    scores = {k: sum(w in SMALL_WORDS[k] for w in words) for k in ("en", "de", "fr", "es", "it", "pt", "pl")}
-    marks = {"de": "äöüß", "fr": "éèêàçùœ", "es": "ñáíóú¿¡", "it": "òìù", "pt": "ãõç", "pl": "łśżźćąę"}
-    low = text.casefold()
-    for k, m in marks.items():
-        scores[k] += sum(low.count(c) for c in m) if scores[k] else 0
-    best = max(scores, key=lambda k: (scores[k], k == "en"))
-    return (best, scores[best]) if scores[best] else ("latin", 0)
-
-
-def other_language(prompt: str, answer: str) -> bool:
-    plain = prose(answer)
-    if len(_WORD.findall(plain)) < 2 or ASKS_LANGUAGE.search(prompt):
-        return False
-    asked, _ = language(prose(prompt))
-    given, sure = language(plain)
-    if not asked or not given or asked == given:
-        return False
-    cyr = {"ru", "uk"}
-    if (asked in cyr) != (given in cyr):
-        letters = [c for c in plain if c.isalpha()]
-        own = sum("Ѐ" <= c <= "ӿ" for c in letters) / max(1, len(letters))
-        far = own >= 0.6 if given in cyr else own <= 0.3
-        return far and (sure > 0 or len(_WORD.findall(plain)) >= 4)
-    return given != "latin" and asked != "latin" and sure >= 2
+def bare_words(answer: str | None) -> list[str]:
+    text = answer or ""
+    if "<" in text:
+        text = _TAG.sub(" ", text)
+    return tokens(text.replace("```", " "))
 
 
-def is_truncated(answer: str, odd_end: bool) -> bool:
-    """``odd_end``: the last word is written out nowhere in the corpus."""
+def is_truncated(answer: str) -> bool | str:
+    """True or False, or the last word where that depends on whether it is a whole word."""
     if answer.count("```") % 2:
         return True
     text = answer.rstrip()
     if text.endswith("```"):
         return False
-    text = _FENCED.sub(" ", text).rstrip()
+    text = _FENCED.sub(" ", text).rstrip() if "`" in text else text
     if not text:
         return False
-    if re.search(r"(?:^|\n)\s*(?:\d+[.)]|[-*•])$", text) or text[-1] in ",:;(—–[«“-/=+":
+    if text[-1] in ",:;(—–[«“-/=+" or re.search(r"(?:^|\n)\s*(?:\d+[.)]|[-*•])$", text[-12:] if len(text) > 12 else text):
         return True
     for left, right in ("()", "[]", "{}", "«»", "“”"):
-        if text.count(left) > text.count(right) and not re.search(r"[:;]-?\($", text):
+        if left in text and text.count(left) > text.count(right) and not re.search(r"[:;]-?\($", text):
             return True
     if text.count('"') % 2 and not re.search(r'\d"', text):
         return True
     if text[-1] in ".!?…)»”\"'":
-        return bool(re.search(r"(?:^|\s)\d+\.$", text) and "\n" in text)
-    last = re.search(r"(\w[\w'’-]*)$", text)
-    if not last:
+        return text[-1] == "." and bool(re.search(r"(?:^|\s)\d+\.$", text[-20:])) and "\n" in text
+    words = _WORD.findall(text[-400:])
+    last = re.search(r"(\w[\w'’-]*)$", text[-200:])
+    if not last or not words:
         return False
-    words = _WORD.findall(text)
-    if len(words) > 1 and (last.group(1).casefold() in UNFINISHED or _UNFINISHED_PHRASE.search(text)):
+    several = len(words) > 1 or len(text) > 400
+    if several and (last[1].casefold() in UNFINISHED or _UNFINISHED_PHRASE.search(text[-60:])):
         return True
-    if len(words) > 2 and words[-1].isalpha() and words[-1].islower() and odd_end:
-        return words[-2].casefold() in JOINING or bool(re.search(r"[A-ZА-ЯЁ]", text))
+    if len(words) > 2 and words[-1].isalpha() and words[-1].islower() and (words[-2].casefold() in JOINING or re.search(r"[A-ZА-ЯЁ]", text)):
+        return words[-1]
     return False
 
 
-def defect(prompt: str | None, answer: str | None, odd_end: bool = False) -> str | None:
-    """The defect of an answer to a prompt, or None. The first that fits: empty, copy, refusal, language, truncated."""
-    bare = tokens(_TAG.sub(" ", (answer or "").replace("```", " ")))
-    if not bare or " ".join(bare) in NOTHING:
-        return "empty"
-    asked = tokens(prompt or "")
-    if is_copy(asked, bare):
-        return "copy"
-    if is_refusal(bare):
-        return "refusal"
-    if asked and other_language(prompt, answer):
-        return "language"
-    return "truncated" if is_truncated(answer, odd_end) else None
-
-
-def _last(text: str):
-    return F.nullif(F.lower(F.regexp_extract(F.col(text), r"(?U)(\p{L}+)\s*$", 1)), F.lit(""))
+class Judge:
+    """Judges batches of answers with models of languages."""
+
+    def __init__(self, model: np.ndarray):
+        self.model = model
+
+    def defects(self, prompts: Sequence[str | None], answers: Sequence[str | None]) -> list[tuple[str | None, str | None]]:
+        """For each answer its defect, or the last word on which it depends whether the answer is truncated."""
+        out: list[tuple[str | None, str | None]] = []
+        open_, texts = [], []
+        for k, (p, a) in enumerate(zip(prompts, answers, strict=True)):
+            bare = bare_words(a)
+            if not bare or " ".join(bare[:3]) in NOTHING and len(bare) < 4:
+                out.append(("empty", None))
+                continue
+            asked = tokens(p or "")
+            if is_copy(asked, bare):
+                out.append(("copy", None))
+            elif is_refusal(asked, a, bare):
+                out.append(("refusal", None))
+            else:
+                out.append((None, None))
+                open_.append(k)
+                texts += [prose(p or ""), prose(a)]
+        foreign = self._foreign(texts)
+        for n, k in enumerate(open_):
+            if foreign[n] and not ASKS_LANGUAGE.search(prompts[k] or ""):
+                out[k] = ("language", None)
+                continue
+            end = is_truncated(answers[k])
+            out[k] = ("truncated", None) if end is True else (None, end.casefold()) if end else (None, None)
+        return out
+
+    def _foreign(self, texts: list[str]) -> list[bool]:
+        """Of each two texts, question and answer, whether the answer is in a language that the question isn't in."""
+        if not texts:
+            return []
+        letters = L.Letters(texts)
+        by_script, scores = letters.scripts(), letters.scores(self.model)
+        many = by_script.sum(1)
+        main = by_script.argmax(1)
+        out = []
+        for k in range(0, len(texts), 2):
+            p, a = k, k + 1
+            out.append(bool(many[p] >= 4 and many[a] >= 4) and self._differs(by_script[p] / many[p], by_script[a] / many[a], int(main[p]), int(main[a]), scores[p], scores[a], int(many[a]), texts[a]))
+        return out
+
+    def _differs(self, asked: np.ndarray, given: np.ndarray, p: int, a: int, asked_scores: np.ndarray, given_scores: np.ndarray, many: int, text: str) -> bool:
+        name = L.SCRIPTS[a]
+        langs = L.OF_SCRIPT.get(name)
+        if a != p:
+            if asked[a] >= 0.3 and name in ("latin", "cyrillic"):
+                pass  # a mixed question may be answered in either of its languages
+            elif name != "latin":
+                return bool(given[a] >= 0.6)
+            else:
+                words = {w.casefold() for w in _WORD.findall(text)}
+                best = int(langs[given_scores[langs].argmax()])
+                return bool(given[p] <= 0.3 and (len(words) >= 4 or len(words) > 1 and L.has_function_word(words, best)))
+        if langs is None:
+            return False
+        # the languages the question may be in are those nearly as likely as the likeliest
+        likely = asked_scores[langs]
+        own = langs[likely >= likely.max() - 3] if a == p else langs
+        best = given_scores[langs].max()
+        return bool(best - given_scores[own].max() > max(MARGIN, MARGIN_LETTER * many))
+
+
+def defect(prompt: str | None, answer: str | None, model: np.ndarray | None = None, torn: bool = False) -> str | None:
+    """The defect of one answer to a prompt, or None; ``torn`` tells that its last word is no whole one.
+
+    The first that fits: empty, copy, refusal, language, truncated. Without a model the function words alone tell languages.
+    """
+    found, last = Judge(L.train() if model is None else model).defects([prompt], [answer])[0]
+    return found or ("truncated" if last and torn else None)
+
+
+def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words, apart for the last ones, and of the trigrams of texts whose function words tell their language."""
+    names = ["kind", "word", "bucket", "n"]
+    words: Counter[tuple[bool, str]] = Counter()
+    grams: np.ndarray | None = None
+
+    def counted() -> pa.RecordBatch:
+        n = len(words)
+        return pa.RecordBatch.from_arrays([pa.array([int(last) for last, _ in words], pa.int32()), pa.array([w for _, w in words], pa.string()), pa.nulls(n, pa.int32()), pa.array(list(words.values()), pa.int64())], names)
+
+    for batch in batches:
+        texts = [t for c in ("prompt", "answer") for t in batch.column(c).to_pylist() if t]
+        language, plain = [], []
+        for t in texts:
+            found = _WORD.findall(t.casefold())
+            if found and t.rstrip()[-1:].isalpha():
+                words[True, found.pop()] += 1
+            own = set(found)
+            words.update((False, w) for w in own)
+            n = L.seeded(own)
+            if n >= 0:
+                language.append(n)
+                plain.append(prose(t))
+        if plain:
+            one = L.Letters(plain).counts(np.array(language))
+            grams = one if grams is None else grams + one
+        if len(words) > HELD_WORDS:
+            yield counted()
+            words.clear()
+    if words:
+        yield counted()
+    if grams is not None:
+        at = np.flatnonzero(grams)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), 2, np.int32)), pa.nulls(len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(grams[at])], names)
 
 
 def flag_answers(answers: DataFrame, keys: list[str], prompt: str = "prompt", answer: str = "answer") -> DataFrame:
     """The key columns and ``defect`` of each answer that has one; one row for each defective row, repeats included.
 
     A null or blank answer is empty. Without a prompt an answer can't be a copy or in another language. Whole texts
-    are judged. Keys may be null and further columns are ignored. An answer that ends in a word which no text of the
-    table has anywhere but at its end is taken for broken off; for that, all words of all texts are counted together.
+    are judged. Keys may be null and further columns are ignored. Two passes over the texts, which are never shuffled: the
+    first counts words and the letter trigrams of languages, the second judges. An answer that ends without punctuation in a
+    word which elsewhere hardly occurs, by the share of its occurrences, is taken for broken off; that is settled by a
+    join of keys and last words.
     """
-    scratch = Scratch(answers.sparkSession, "pairs")
-    rows = scratch.save("rows", answers.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], F.col(prompt).alias("prompt"), F.col(answer).alias("answer"), _last(answer).alias("last")))
-    texts = rows.select(F.explode(F.array("prompt", "answer")).alias("t")).where("t is not null")
-    body = F.lower(F.regexp_replace("t", r"(?U)\p{L}+\s*$", ""))
-    known = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(body, F.lit(r"(?U)\p{L}+"), 0))).alias("last")).groupBy("last").agg(F.lit(True).alias("known"))
-    ends = scratch.save("ends", rows.where("last is not null").select("last").distinct().join(known, "last", "left").where("known is null").select("last", F.lit(True).alias("odd")))
-    schema = ", ".join([*(f"k{n} {answers.schema[k].dataType.simpleString()}" for n, k in enumerate(keys)), "defect string"])
-    names = [*(f"k{n}" for n in range(len(keys))), "defect"]
+    spark = answers.sparkSession
+    scratch = Scratch(spark, "pairs")
+    rows = answers.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(keys)], F.col(prompt).alias("prompt"), F.col(answer).alias("answer"))
+    counts = rows.select("prompt", "answer").mapInArrow(_profile, "kind int, word string, bucket int, n long").groupBy("kind", "word", "bucket").agg(F.sum("n").alias("n"))
+    counts = scratch.save("counts", counts)
+    # at most one row for each language and bucket, whatever the corpus
+    grams = np.zeros(len(L.LANGUAGES) * L.BUCKETS)
+    for r in counts.where("kind = 2").select("bucket", "n").toArrow().to_batches():
+        grams[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    sent = spark.sparkContext.broadcast(L.train(grams))
+    schema = ", ".join([*(f"k{n} {answers.schema[k].dataType.simpleString()}" for n, k in enumerate(keys)), "defect string, last string"])
+    names = [*(f"k{n}" for n in range(len(keys))), "defect", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(sent.value)
         for batch in batches:
-            p, a, odd = (batch.column(c).to_pylist() for c in ("prompt", "answer", "odd"))
-            found = [defect(x, y, bool(z)) for x, y, z in zip(p, a, odd, strict=True)]
-            some = pa.array([k for k, d in enumerate(found) if d], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(some) for n in names[:-1]), pa.array([d for d in found if d], pa.string())], names)
-
-    judged = rows.join(ends, "last", "left").select(*names[:-1], "prompt", "answer", "odd").mapInArrow(run, schema)
-    return judged.select(*[F.col(f"k{n}").alias(k) for n, k in enumerate(keys)], "defect")
+            p, a = batch.column("prompt").to_pylist(), batch.column("answer").to_pylist()
+            found = judge.defects(p, a)
+            some = pa.array([k for k, (d, w) in enumerate(found) if d or w], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(n).take(some) for n in names[:-2]), pa.array([d for d, w in found if d or w], pa.string()), pa.array([w for d, w in found if d or w], pa.string())], names)
+
+    judged = scratch.save("judged", rows.mapInArrow(run, schema))
+    ends = counts.where("kind = 1").select(F.col("word").alias("last"), F.col("n").alias("at_end"))
+    body = counts.where("kind = 0").select(F.col("word").alias("last"), F.col("n").alias("elsewhere"))
+    torn = ends.join(body, "last", "left").where(F.coalesce("elsewhere", F.lit(0)) <= ELSEWHERE * (F.col("at_end") + F.coalesce("elsewhere", F.lit(0)))).select("last")
+    broken = judged.where("last is not null").join(torn, "last", "left_semi").select(*names[:-2], F.lit("truncated").alias("defect"))
+    return judged.where("defect is not null").select(*names[:-1]).unionByName(broken).select(*[F.col(f"k{n}").alias(k) for n, k in enumerate(keys)], "defect")
 
 
 def answers_of(pairs: DataFrame, dialogues: DataFrame) -> DataFrame:

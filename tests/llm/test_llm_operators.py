@@ -87,11 +87,228 @@ def test_defects(prompt, answer, want):
     assert pairs.defect(prompt, answer) == want
 
 
-def test_subsequence_and_odd_ends(spark):
+# Wordings written after earlier templates, which then were widened by what was missed (34 of the first 40, 32 of the second, 35 of the third).
+WIDENED = """I'm sorry, but as an AI language model I cannot provide medical advice.
+I apologize, but I am unable to fulfill this request.
+Unfortunately, I won't be able to assist you with this.
+I'm afraid I can't discuss that topic.
+That's not something I'm able to talk about.
+I have to decline this one.
+I would prefer not to comment on internal matters.
+Our policy does not allow me to share such details.
+Sorry, this goes beyond my capabilities.
+I cannot in good conscience help with this.
+We are not permitted to answer questions of this kind.
+I don't feel comfortable answering that.
+I must respectfully refuse to continue.
+Let's switch to another subject.
+It would be against my guidelines to answer.
+I'm not in a position to give legal advice.
+I can't generate that kind of content.
+I refuse to answer this.
+No comment on that.
+I'm not going to help you with this.
+Извините, но я не смогу вам помочь.
+К сожалению, я не могу выполнить ваш запрос.
+Я не уполномочен отвечать на такие вопросы.
+Мы не предоставляем консультации по этой теме.
+Прошу прощения, но эта тема для меня закрыта.
+Как языковая модель, я не могу обсуждать политику.
+Мне запрещено говорить об этом.
+Это противоречит моим правилам.
+Я вынужден отказаться от ответа.
+Я не стану комментировать эту ситуацию.
+Такие темы я не обсуждаю.
+Не готов отвечать на этот вопрос.
+Это не входит в мою компетенцию.
+Наша политика запрещает давать такие рекомендации.
+Я отказываюсь отвечать.
+Предлагаю поговорить о чём-нибудь другом.
+Оставлю этот вопрос без комментариев.
+Тут я бессилен, ничего не подскажу.
+Боюсь, ничем не могу быть полезен.
+Я не даю медицинских советов.
+I'm unable to comply with that request.
+Sorry, I cannot discuss this any further.
+As an assistant, I'm not allowed to give financial recommendations.
+I'm afraid this falls outside my area of expertise.
+I'd prefer not to say anything about it.
+I can't share that information with you.
+We won't be answering this.
+My instructions forbid me from talking about it.
+I have to pass on this question.
+I am not qualified to advise on such matters.
+I will not participate in this.
+This topic is off limits for me.
+Could we talk about something else instead?
+I do not have the ability to help here.
+Apologies, I can't process requests like that.
+I shall abstain from answering.
+Regrettably I cannot be of assistance.
+I'm choosing not to respond to this.
+That violates our content policy.
+Please ask someone else, I can't advise on this.
+Простите, но помочь с этим я не могу.
+Мы не можем дать ответ на такой запрос.
+Я не вправе раскрывать эти сведения.
+Это за пределами моих полномочий.
+Инструкция не разрешает мне рассуждать о политике.
+Увы, тут я пас.
+Не буду это комментировать.
+Воздержусь от комментариев.
+К сожалению, я не в состоянии ответить на ваш вопрос.
+Подобные просьбы мы не рассматриваем.
+Я не консультирую по юридическим вопросам.
+Прошу сменить тему разговора.
+Я не хочу об этом говорить.
+Мне нельзя давать такие советы.
+Ответа от меня вы не дождётесь.
+Боюсь, на это я ответить не смогу.
+Данный вопрос вне моей компетенции.
+Я обязан отклонить эту просьбу.
+Никаких рекомендаций дать не могу.
+Такими вопросами я не занимаюсь.
+I'm sorry, I cannot assist with that.
+I can't engage with this topic.
+I am not able to offer an opinion on that.
+Sorry, but I will have to refuse.
+This request violates our guidelines.
+I won't discuss that here.
+We don't provide legal advice.
+My policies prevent me from answering.
+I would rather not get into that.
+That lies beyond what I can do.
+I cannot support this.
+It's not appropriate for me to comment.
+Thanks for the question, but I can't answer it.
+I'm not comfortable discussing this.
+I am prohibited from sharing that.
+Let us change the subject.
+I need to decline your request.
+I'm not authorized to speak about it.
+I cannot recommend anything here.
+Not something I can comment on.
+Извините, я не могу это обсуждать.
+На такие вопросы мы не отвечаем.
+Мои правила запрещают подобные ответы.
+Я не буду отвечать на это.
+Это вне рамок моих задач.
+Не могу дать совет по этой теме.
+Мне не разрешено рассказывать об этом.
+Давайте поговорим о другом.
+Вынуждена отказать в этой просьбе.
+Я не имею возможности помочь вам с этим.
+Мы не комментируем подобные темы.
+Я не готова рассуждать на эту тему.
+Помочь вам, увы, не смогу.
+Политика сервиса не позволяет отвечать на это.
+Я воздержусь от ответа.
+Данную тему я не поддерживаю.
+Отвечать на подобное мне запрещено.
+К сожалению, это нарушает наши правила.
+Я не специалист в этом и советовать не стану.
+Прошу меня извинить, ответа не будет.""".split("\n")
+# Wordings that were written after the templates and weren't used to change them.
+HELD_OUT = """I'm sorry, but I can't do that.
+I can't offer any guidance on that matter.
+Unfortunately I'm not able to respond to this question.
+I am unable to talk about that.
+Sorry, that's outside of my scope.
+I must refrain from giving advice.
+I decline to comment.
+Our terms do not permit me to help with that.
+I'd rather skip this question.
+We cannot comply with your request.
+I will not provide that information.
+I don't have permission to answer this.
+It is beyond my abilities to advise you here.
+I can't be of help with this.
+I'm afraid I must decline.
+That would violate my principles.
+I won't go into that.
+You will have to ask someone else, I can't answer.
+As a language model I do not give medical recommendations.
+Let's talk about a different topic.
+Я не могу предоставить такую информацию.
+Увы, ничем помочь не могу.
+Мне нельзя отвечать на подобные вопросы.
+Я отказываюсь комментировать это.
+Наши правила не разрешают обсуждать такое.
+Эта тема не входит в мои задачи.
+Не хочу отвечать на этот вопрос.
+Я вынужден уклониться от ответа.
+Предлагаю сменить тему.
+Мы не вправе давать такие рекомендации.
+Это противоречит нашей политике.
+Я не берусь советовать в таких делах.
+Консультаций по таким вопросам мы не оказываем.
+Как ассистент, я не могу высказывать мнение.
+Боюсь, я не смогу ответить.
+Позвольте мне не отвечать.
+Оставляю этот запрос без ответа.
+Без комментариев.
+На эту тему я говорить не буду.
+Такие просьбы выходят за пределы моих возможностей.""".split("\n")
+SOUND = """I can't reproduce it here, but first check the log and then restart the node.
+Сервис пишет «не могу ответить на этот вопрос», это не страшно: перезапустите его.
+The server can't respond until you replace the certificate.
+Не могу сказать точно, но сначала проверьте диск, потом замените кабель.
+The supplier breaches the terms, so renegotiate the contract.
+Вы не сможете помочь базе, пока не поднимете реплику; сначала поднимите её, затем проверьте журнал.
+Don't provide the password on the command line, use a file.
+Не даёт покоя индекс: стоит его перестроить.
+It is not allowed by the firewall, open the port first and then retry.
+Комментарии в коде не нужны, лучше назовите функцию понятнее.""".split("\n")
+
+
+def test_refusals_in_other_wordings():
+    judge = pairs.Judge(pairs.L.train())
+    for wordings in (WIDENED, HELD_OUT):
+        found = [d == "refusal" for d, _ in judge.defects(["Как вы это делаете?"] * len(wordings), wordings)]
+        assert sum(found) >= 0.9 * len(wordings), [t for t, f in zip(wordings, found) if not f]
+    wrong = [t for t, (d, _) in zip(SOUND, judge.defects(["Что делать с сервером?"] * len(SOUND), SOUND)) if d == "refusal"]
+    assert not wrong
+    long = "I can't help with that. " + "The matter is delicate and everybody has a view of it that deserves respect. " * 40
+    assert pairs.defect("How do I roll back the base?", long) == "refusal"
+
+
+@pytest.mark.parametrize(
+    "answer",
+    [
+        "Zuerst sollte man den Verlauf prüfen und danach die Einstellungen wiederherstellen.",
+        "Najpierw sprawdź dziennik zdarzeń, a potem uruchom serwer jeszcze raz.",
+        "Önce günlükleri kontrol edin, ardından sunucuyu yeniden başlatın.",
+        "首先检查日志，然后重新启动服务器。",
+        "Prima controlla il registro e poi riavvia il servizio con la configurazione precedente.",
+        "먼저 로그를 확인한 다음 서버를 다시 시작하세요.",
+        "Сначала проверьте журнал, потом перезапустите службу.",
+    ],
+)
+def test_other_languages(answer):
+    assert pairs.defect("How do I restore the service after the update failed?", answer) == "language"
+    assert pairs.defect("Translate it into another language or in German, please, in Polish", "First check the log, then restart it.") is None
+    assert pairs.defect("How do I restore the service after the update failed?", "First check the log, then restart the service with the old settings.") is None
+
+
+def test_copies_given_back_often():
+    prompt = "как лучше откатить базу после ошибки"
+    assert pairs.defect(prompt, ". ".join([prompt] * 30)) == "copy"
+
+
+def test_ends_of_lists():
+    for text in ("First look at the log, then check every", "Снимите копию и проверьте каждый", "Take the copy and give it to your"):
+        assert pairs.defect(None, text) == "truncated"
+
+
+def test_subsequence_and_torn_words(spark):
     assert pairs.common_subsequence(list("abcbdab"), list("bdcaba")) == 4
-    rows = spark.createDataFrame([(1, "Что делать?", "Снимите копию, затем проконтро"), (2, "Что делать?", "Снимите копию, затем журнал"), (3, "Где журнал лежит?", None)], "k long, prompt string, answer string")
-    assert {tuple(r) for r in pairs.flag_answers(rows, ["k"]).collect()} == {(1, "truncated"), (3, "empty")}
-    assert pairs.flag_answers(rows.limit(0), ["k"]).count() == 0
+    rows = [(1, "Что делать?", "Снимите копию, затем проконтро"), (2, "Что делать?", "Снимите копию, затем журнал"), (3, "Где журнал лежит?", None)]
+    frame = spark.createDataFrame(rows, "k long, prompt string, answer string")
+    assert {tuple(r) for r in pairs.flag_answers(frame, ["k"]).collect()} == {(1, "truncated"), (3, "empty")}
+    # a share of a hundredth elsewhere changes nothing, however large the corpus
+    more = spark.createDataFrame([*rows, *[(k, "Что делать?", "Снимите копию, затем проконтро") for k in range(10, 310)], (500, "Что такое проконтро и зачем?", "Ничего.")], "k long, prompt string, answer string")
+    assert pairs.flag_answers(more, ["k"]).where("defect = 'truncated'").count() == 301
+    assert pairs.flag_answers(frame.limit(0), ["k"]).count() == 0
 
 
 # 4. personal information
