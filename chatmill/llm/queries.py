@@ -105,6 +105,9 @@ SELECT t.chat_id, t.root_id, t.msg_id, row_number() OVER (PARTITION BY t.chat_id
 
 SQL = {
     "p7_found": _CONVERSATIONS,
+    "p7_turns": f"""WITH c AS ({_CONVERSATIONS}), x AS (SELECT chat_id, msg_id, list(text_raw ORDER BY batch_id NULLS LAST, ingested_at NULLS LAST, text_raw NULLS FIRST)[1] AS content
+  FROM normalized_messages WHERE NOT coalesce(is_service, false) GROUP BY chat_id, msg_id)
+SELECT c.*, x.content FROM c JOIN x USING (chat_id, msg_id)""",
     "p6_found": """SELECT 'full_clean_messages' AS src, chat_id, msg_id AS item_id FROM full_clean_messages WHERE length(text_clean) > 1200
 UNION ALL SELECT 'jsonl_records', CAST(0 AS BIGINT), rec_id FROM jsonl_records WHERE length(record) > 4000""",
     "p9_found": r"""

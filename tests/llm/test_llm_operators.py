@@ -417,6 +417,30 @@ def test_conversations(spark):
     assert conversations.rebuild_conversations(frame.limit(0)).count() == 0
 
 
+def test_fragments_and_orders(spark):
+    hashes = lambda *x: np.array(x, np.int64)
+    # 1 <- 2 <- 3, 3 <- 4 and 5 (a fork), a repeated 2, a circle 6 <- 7 <- 6
+    own, above = hashes(1, 2, 3, 4, 5, 2, 6, 7), hashes(0, 1, 2, 3, 3, 1, 7, 6)
+    fragment, place = conversations.chain(np.ones(8, np.int64), own, above, above > 0)
+    assert fragment[0] == fragment[1] == fragment[2] and list(place[:3]) == [0, 1, 2]
+    assert len({fragment[2], fragment[3], fragment[4], fragment[5], fragment[6]}) == 5 and fragment[6] == fragment[7]
+    r = random.Random(4)
+    kind = "chat_id long, msg_id long, unixtime long, author_id_raw string, text_raw string, reply_to_id long, is_service boolean, batch_id long, ingested_at timestamp"
+    rows = []
+    for m in range(1, 400):
+        rows.append((m % 2, m, m // 3, r.choice("ab"), "t", r.choice([None, m - 2, max(m - 2 * r.randint(1, 5), 0), m if m % 90 == 0 else m - 2]), False, r.randint(1, 9), None))
+    rows += [(*x[:7], 10, None) for x in r.sample(rows, 80)]
+    want = None
+    for page, stretch in ((8192, 100_000), (16, 100_000), (16, 1), (1, 3)):
+        r.shuffle(rows)
+        old = conversations.PAGE_ROWS, conversations.STRETCH_ROWS
+        conversations.PAGE_ROWS, conversations.STRETCH_ROWS = page, stretch
+        got = {tuple(x) for x in conversations.rebuild_conversations(spark.createDataFrame(rows, kind)).collect()}
+        conversations.PAGE_ROWS, conversations.STRETCH_ROWS = old
+        assert got and (want is None or got == want)
+        want = got
+
+
 # 8. packing
 
 
