@@ -8,8 +8,9 @@ read once more, and each row looks up its bit in the vector of its file.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,10 @@ from chatmill.plans.scratch import Scratch
 BUCKET = 32_768
 #: Bytes of a row of the vector table: two bitmaps of 4 KB, file and bucket.
 VECTOR_BYTES = 2 * BUCKET // 8 + 32
+#: Bytes of vectors that lie together where they aren't broadcast, and files whose vectors a worker holds.
+SHELF_BYTES = 16 << 20
+HELD_FILES = 4
+DEAD, KEPT = 1, 2
 
 
 def _with_position(frame: DataFrame) -> list[Column]:
@@ -80,31 +85,64 @@ def deduplicate_deliveries(
     its key has no identity and is kept. Empty tables give no rows; all payload columns pass through, whatever their
     names, except ones called like the internal columns _file, _row, _bucket, _bit and redelivered.
 
-    The vectors hold two bits a row. While they fit ``broadcast_bytes`` one scan of the payload takes them by
-    broadcast; beyond it the files are taken in groups whose vectors fit, each file still being read once.
+    The vectors hold two bits a row of the buckets with copies. While they fit ``broadcast_bytes`` the scan of the payload
+    takes them by broadcast. Beyond it they lie in the shared folder, sorted by file on shelves of bounded size, and each task
+    reads those of the files it scans; file and row numbers alone go through Python, the payload stays where it is.
     """
     scratch = Scratch(spark, "redelivery")
     vectors = scratch.save("vectors", deletion_vectors(spark, path, key, order))
-    groups = max(1, -(-vectors.count() * VECTOR_BYTES // broadcast_bytes))
-    paths = [path] if isinstance(path, str) else list(path)
-    source = spark.read.parquet(*paths)
-    # one row for each file; no column is read for it
-    hashed = source.select(F.col("_metadata.file_path").alias("f")).distinct().select("f", F.xxhash64("f").alias("h")).collect()
-    if len({r.h for r in hashed}) != len(hashed):
+    source = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    # no column is read for it
+    files = source.select(F.col("_metadata.file_path").alias("f")).distinct()
+    if files.agg((F.count("f") > F.countDistinct(F.xxhash64("f"))).alias("clash")).first().clash:
         raise ValueError("two files of the table share a hash")
-    if groups == 1:
-        return _apply(source, vectors, columns)
-    out: DataFrame | None = None
-    for g in range(groups):
-        files = [unquote(r.f) for r in hashed if r.h % groups == g]
-        if files:
-            part = _apply(spark.read.schema(source.schema).parquet(*files), vectors.where(F.pmod("_file", F.lit(groups)) == g), columns)
-            out = part if out is None else out.unionByName(part)
-    return source.select(*(columns or source.columns), F.lit(False).alias("redelivered")) if out is None else out
-
-
-def _apply(source: DataFrame, vectors: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    size = vectors.count() * VECTOR_BYTES
     wanted = list(columns or source.columns)
-    rows = source.select(*wanted, *_with_position(source)).withColumns({"_bucket": F.bitmap_bucket_number(F.col("_row") + 1), "_bit": F.bitmap_bit_position(F.col("_row") + 1)})
-    marked = rows.join(F.broadcast(vectors), ["_file", "_bucket"], "left")
-    return marked.where(F.col("dead").isNull() | ~_bit("dead")).select(*wanted, F.coalesce(_bit("kept"), F.lit(False)).alias("redelivered"))
+    rows = source.select(*wanted, *_with_position(source))
+    if size <= broadcast_bytes:
+        rows = rows.withColumns({"_bucket": F.bitmap_bucket_number(F.col("_row") + 1), "_bit": F.bitmap_bit_position(F.col("_row") + 1)})
+        marked = rows.join(F.broadcast(vectors), ["_file", "_bucket"], "left")
+        return marked.where(F.col("dead").isNull() | ~_bit("dead")).select(*wanted, F.coalesce(_bit("kept"), F.lit(False)).alias("redelivered"))
+    shelves = -(-size // SHELF_BYTES)
+    by_shelf = vectors.withColumn("_shelf", F.pmod("_file", F.lit(shelves)).cast("int")).repartition("_shelf").sortWithinPartitions("_shelf", "_file", "_bucket")
+    by_shelf.write.partitionBy("_shelf").option("parquet.block.size", 4 << 20).option("compression", "zstd").parquet(scratch.path("shelves"))
+    state = F.pandas_udf(_states(scratch.path("shelves"), shelves), "int")
+    marked = rows.withColumn("_state", state("_file", "_row"))
+    return marked.where(F.col("_state") != DEAD).select(*wanted, (F.col("_state") == KEPT).alias("redelivered"))
+
+
+def _states(folder: str, shelves: int):
+    """Looks rows up in the vectors of their files, which are read once for each file and worker."""
+    held: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
+
+    def load(file: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
+        shelf = f"{root}/_shelf={file % shelves}"
+        if system.get_file_info(shelf).type == fs.FileType.NotFound:
+            return {}
+        found = pq.read_table(shelf, filesystem=system, filters=[("_file", "=", file)], columns=["_bucket", "dead", "kept"], partitioning=None)
+        bits = lambda c: [np.frombuffer(b, np.uint8) for b in found.column(c).to_pylist()]
+        return {b: (d, k) for b, d, k in zip(found.column("_bucket").to_pylist(), bits("dead"), bits("kept"), strict=True)}
+
+    def state(files: pd.Series, rows: pd.Series) -> pd.Series:
+        file, row = files.to_numpy(), rows.to_numpy()
+        out = np.zeros(len(row), np.int32)
+        for f in np.unique(file).tolist():
+            if f not in held:
+                while len(held) >= HELD_FILES:
+                    held.pop(next(iter(held)))
+                held[f] = load(f)
+            mine = np.flatnonzero(file == f)
+            bucket, bit = row[mine] // BUCKET + 1, row[mine] % BUCKET
+            for b in np.unique(bucket).tolist():
+                if b in held[f]:
+                    some = bucket == b
+                    for value, bitmap in zip((DEAD, KEPT), held[f][b], strict=True):
+                        hit = bitmap[bit[some] >> 3] >> (bit[some] & 7) & 1
+                        out[mine[some][hit == 1]] = value
+        return pd.Series(out)
+
+    return state

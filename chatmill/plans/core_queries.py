@@ -26,8 +26,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_unique(spark: SparkSession, sf: str) -> DataFrame:
-    kept = deduplicate_deliveries(spark, path(sf, "normalized_messages"))
-    return kept.select("chat_id", "msg_id", "unixtime", "author_id_raw", "reply_to_id", "batch_id", "redelivered")
+    return deduplicate_deliveries(spark, path(sf, "normalized_messages"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,8 +47,9 @@ QUERIES = {"p2_found": p2_found, "p2_unique": p2_unique, "p5_found": p5_found, "
 
 SQL = {
     "p2_found": "SELECT chat_id, msg_id FROM normalized_messages WHERE chat_id IS NOT NULL AND msg_id IS NOT NULL GROUP BY chat_id, msg_id HAVING count(*) > 1",
-    "p2_unique": """SELECT chat_id, msg_id, min(unixtime) AS unixtime, min(author_id_raw) AS author_id_raw, min(reply_to_id) AS reply_to_id,
-  min(batch_id) AS batch_id, count(*) > 1 AS redelivered FROM normalized_messages GROUP BY chat_id, msg_id""",
+    "p2_unique": """SELECT * EXCLUDE (r, c), coalesce(c > 1, false) AS redelivered FROM (SELECT *, CASE WHEN chat_id IS NULL OR msg_id IS NULL THEN 1 ELSE row_number() OVER w END AS r,
+  CASE WHEN chat_id IS NULL OR msg_id IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY chat_id, msg_id) END AS c
+  FROM normalized_messages WINDOW w AS (PARTITION BY chat_id, msg_id ORDER BY batch_id NULLS LAST, ingested_at NULLS LAST)) WHERE r = 1""",
     "p5_found": _TREE
     + """SELECT m.chat_id, m.msg_id, coalesce(t.root_id, -1) AS root_id, coalesce(t.depth, -1) AS depth
   FROM m LEFT JOIN t USING (chat_id, msg_id) WHERE m.r IS NOT NULL""",

@@ -11,9 +11,11 @@ from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset (single-machine runs)."""
+    """The folder in spark.checkpoint.dir. Where that is unset a temporary one is made on a single machine; a cluster must name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="chatmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -82,12 +82,33 @@ def test_one_copy_of_each(spark, tmp_path):
     assert all(r.redelivered for r in got if r.chat_id) and not any(r.redelivered for r in got if r.chat_id is None)
 
 
-def test_groups_of_files_give_the_same(spark, tmp_path):
-    rows = [(k % 3, k % 17, k, None, "t") for k in range(300)]
+def test_vectors_on_shelves_give_the_same(spark, tmp_path, monkeypatch):
+    rows = [(k % 3, k % 17, k, None, f"t{k}") for k in range(300)] + [(None, 1, 1, None, "n")]
     path = _delivered(spark, rows, str(tmp_path / "t"), files=6)
     whole = sorted(map(str, redelivery.deduplicate_deliveries(spark, path).collect()))
-    parts = sorted(map(str, redelivery.deduplicate_deliveries(spark, path, broadcast_bytes=redelivery.VECTOR_BYTES).collect()))
-    assert whole == parts and len(whole) == 51
+    for shelf in (redelivery.SHELF_BYTES, redelivery.VECTOR_BYTES):
+        monkeypatch.setattr(redelivery, "SHELF_BYTES", shelf)
+        parts = redelivery.deduplicate_deliveries(spark, path, broadcast_bytes=0)
+        assert sorted(map(str, parts.collect())) == whole
+    assert len(whole) == 52
+
+
+def test_rows_past_the_first_bucket(spark, tmp_path):
+    n = redelivery.BUCKET
+    frame = spark.range(0, 2 * n + 10, 1, 1).select(F.lit(1).cast("long").alias("chat_id"), F.when(F.col("id") >= 2 * n, F.col("id") - n).otherwise(F.col("id")).alias("msg_id"), F.col("id").alias("batch_id"), F.lit(None).cast("timestamp").alias("ingested_at"))
+    frame.write.parquet(str(tmp_path / "t"))
+    for most in (64 << 20, 0):
+        out = redelivery.deduplicate_deliveries(spark, str(tmp_path / "t"), broadcast_bytes=most)
+        assert out.count() == 2 * n and out.where("redelivered").agg(F.min("batch_id"), F.max("batch_id"), F.count("*")).first() == (n, n + 9, 10)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from chatmill.plans.scratch import shared_folder
+
+    with pytest.raises(ValueError):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077")))
 
 
 def test_hot_key_ties_and_empty(spark, tmp_path):
