@@ -12,46 +12,47 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from chatmill.llm.codes import Words, chunks, mix
 
 WINDOW = 8
-TABLE_BITS = 18
-#: Patterns of one matcher; more items are searched for in several passes over the batch in memory.
-BLOCK_PATTERNS = 1 << 18
+#: Entries of the shift table for each block of a pattern, so that most blocks of a text are in none.
+SPARSE = 16
+MOST_TABLE_BITS = 26
 #: Windows moved at the same time.
 LANES = 4096
-#: Characters of all item bodies that may be sent to every task.
-MOST_ITEM_CHARS = 256 << 20
+#: Characters of item bodies that are sent to every task at once; a larger set is searched for in parts of this size.
+PART_CHARS = 8 << 20
 
 
 class Matcher:
-    """Tables for one block of items."""
+    """Tables for the windows of a set of items."""
 
-    def __init__(self, ids: Sequence[int], bodies: Sequence[str | None], window: int = WINDOW):
+    def __init__(self, bodies: Sequence[str | None], window: int = WINDOW):
         self.window = window
         words = Words(bodies)
         n = len(words.hash)
         first = np.arange(max(0, n - window + 1))
         first = first[words.text[first] == words.text[first + window - 1]] if n >= window else first[:0]
-        self.item = np.asarray(ids, np.int64)[words.text[first]] if len(first) else np.zeros(0, np.int64)
-        self.words = words.hash
-        self.spelling = [words.spelled(k, window) for k in first]
+        self.item = words.text[first]
+        self.words = words
         self.first = first
-        self.shift = np.full(1 << TABLE_BITS, window - 1, np.int64)
+        self.bits = min(MOST_TABLE_BITS, max(12, int(len(first) * window * SPARSE).bit_length()))
+        self.shift = np.full(1 << self.bits, window - 1, np.int8)
         for j in range(window - 1, 0, -1):  # the block of words j-1 and j of a pattern lets the window move by window-1-j
-            at = first + j
-            block = self._block(words.hash[at - 1], words.hash[at]) if len(first) else np.zeros(0, np.int64)
-            np.minimum.at(self.shift, block, window - 1 - j)
+            if len(first):
+                block = self._block(words.hash[first + j - 1], words.hash[first + j])
+                self.shift[block] = np.minimum(self.shift[block], window - 1 - j)
         last = self._suffix(words.hash, first + window - 1) if len(first) else np.zeros(0, np.uint64)
         order = np.argsort(last, kind="stable")
         self.suffix, self.order = last[order], order
 
-    @staticmethod
-    def _block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def _block(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return ((a * np.uint64(3) + b) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+            return ((a * np.uint64(3) + b) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     @staticmethod
     def _suffix(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -59,7 +60,7 @@ class Matcher:
             return mix(hashes[at - 1] * np.uint64(3) + hashes[at])
 
     def search(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Text numbers and items of all occurrences, each once."""
+        """Text and item numbers of all occurrences, each once."""
         n, w = len(words.hash), self.window
         none = np.zeros(0, np.int64)
         if n < w or not len(self.first):
@@ -86,9 +87,9 @@ class Matcher:
         at, low = np.repeat(at, many), np.repeat(low, many)
         pattern = self.order[low + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)] if len(at) else none
         for j in range(w):
-            same = words.hash[at - w + 1 + j] == self.words[self.first[pattern] + j]
+            same = words.hash[at - w + 1 + j] == self.words.hash[self.first[pattern] + j]
             at, pattern = at[same], pattern[same]
-        sure = [words.spelled(a - w + 1, w) == self.spelling[p] for a, p in zip(at, pattern, strict=True)]
+        sure = [words.spelled(a - w + 1, w) == self.words.spelled(self.first[p], w) for a, p in zip(at, pattern, strict=True)]
         at, pattern = at[sure], pattern[sure]
         found = np.unique(np.stack([words.text[at], self.item[pattern]], 1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
         return found[:, 0], found[:, 1]
@@ -99,36 +100,39 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id",
 
     Case, accents, punctuation, spacing, invisible characters and look-alike letters don't count. Items with fewer
     words, null bodies and null item ids are never found; null and empty texts carry nothing. Documents repeated
-    under one id give one row for each copy and item; further columns are ignored. One pass over the texts, nothing is
-    shuffled. The items are a held-out test set and go to every task: past MOST_ITEM_CHARS this raises, and the set
-    has to be searched for in parts.
+    under one id give one row for each copy and item; further columns are ignored. Nothing is shuffled: the items, a held-out
+    test set, go to every task, and one pass over the texts finds them. A set of more than PART_CHARS characters is cut into
+    parts by the hashes of the items' ids, each with a pass of its own.
     """
-    rows = items.select(item_id, body).where(f"`{item_id}` is not null and `{body}` is not null").collect()
-    if sum(len(r[1]) for r in rows) > MOST_ITEM_CHARS:
-        raise ValueError("too many items for one search; split them")
-    rows.sort(key=lambda r: (r[0], r[1]))
-    parts, patterns, part = [], 0, []
-    for r in rows:
-        patterns += len(r[1]) // 2
-        part.append((r[0], r[1]))
-        if patterns > BLOCK_PATTERNS:
-            parts, patterns, part = [*parts, part], 0, []
-    parts.append(part)
-    sent = documents.sparkSession.sparkContext.broadcast(parts)
-    kind = documents.schema[doc_id].dataType.simpleString()
+    spark = documents.sparkSession
+    wanted = items.select(F.col(item_id).alias("i"), F.col(body).alias("b")).where("i is not null and b is not null")
+    chars = wanted.agg(F.sum(F.length("b")).alias("n")).first().n or 0
+    parts = max(1, -(-chars // PART_CHARS))
+    kinds = f"`{doc_id}` {documents.schema[doc_id].dataType.simpleString()}, `{item_id}` {items.schema[item_id].dataType.simpleString()}"
+    texts = documents.select(doc_id, text)
+    out: DataFrame | None = None
+    for part in range(parts):
+        found = texts.mapInArrow(_searched(spark, wanted.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == part), window, [doc_id, item_id]), kinds)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _searched(spark: SparkSession, items: DataFrame, window: int, names: list[str]):
+    """The search for a part of the items, as a function on batches of identifiers and texts."""
+    rows = sorted(((r.i, r.b) for r in items.collect()), key=lambda r: (r[0], r[1]))
+    kind = items.schema["i"].dataType
+    sent = spark.sparkContext.broadcast(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matchers = [Matcher([i for i, _ in p], [b for _, b in p], window) for p in sent.value]
+        matcher = Matcher([b for _, b in sent.value], window)
+        ids = pa.array([i for i, _ in sent.value], to_arrow_type(kind))
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            docs, found = [], []
             for a, b in chunks(texts):
-                words = Words(texts[a:b])
-                for m in matchers:
-                    t, item = m.search(words)
-                    docs.append(t + a)
-                    found.append(item)
-            if docs:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(docs))), pa.array(np.concatenate(found))], [doc_id, item_id])
-
-    return documents.select(doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, `{item_id}` long")
+                text, item = matcher.search(Words(texts[a:b]))
+                if len(text):
+                    # copies of an item under one id count once
+                    pairs = pa.table([batch.column(0).take(pa.array(text + a)), ids.take(pa.array(item)), pa.array(text)], [*names, "_row"])
+                    yield from pairs.group_by([*names, "_row"]).aggregate([]).select(names).to_batches()
+
+    return run

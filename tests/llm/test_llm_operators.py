@@ -534,6 +534,19 @@ def test_leaks(spark):
     got = {tuple(r) for r in leakage.leaked_items(frame, items).collect()}
     assert got == {(1, 1), (5, 1), (5, 4), (7, 1), (7, 4)}
     assert leakage.leaked_items(frame, items.limit(0)).count() == 0
+    old, leakage.PART_CHARS = leakage.PART_CHARS, 40
+    named = items.withColumn("item_id", F.concat(F.lit("item "), "item_id"))
+    assert {tuple(r) for r in leakage.leaked_items(frame, named.union(named)).collect()} == {(d, f"item {i}") for d, i in got}
+    leakage.PART_CHARS = old
+
+
+def test_shifts_stay_long_for_many_items():
+    r = np.random.default_rng(1)
+    words = np.array([f"w{k}" for k in range(20_000)])
+    matcher = leakage.Matcher([" ".join(r.choice(words, 2000)) for _ in range(100)])
+    text = Words([" ".join(r.choice(words, 20_000))])
+    moves = matcher.shift[matcher._block(text.hash[:-1], text.hash[1:])]
+    assert moves.mean() > 6 and (moves == 0).mean() < 0.05
 
 
 def test_words_fold():
