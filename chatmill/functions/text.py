@@ -24,6 +24,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")
 
 
+def onward(array: Column | str, first: int) -> Column:
+    """The array from its ``first`` element (1-based) on."""
+    a = F.col(array) if isinstance(array, str) else array
+    return F.slice(a, F.lit(first), F.size(a))
+
+
 def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatmill.functions.text import content_words, stripped, token_count, word_count
+from chatmill.functions.text import content_words, onward, stripped, token_count, word_count
 from chatmill.plans.ranks import with_previous
 from chatmill.plans.scratch import Scratch
 
@@ -73,7 +73,7 @@ def ngrams(rows: DataFrame, text: str, n: int, most: int) -> DataFrame:
     w = content_words(F.col(text))
     joined = w
     for k in range(2, n + 1):
-        joined = F.zip_with(joined, F.slice(w, k, 1_000_000), lambda a, b: F.concat_ws(" ", a, b))
+        joined = F.zip_with(joined, onward(w, k), lambda a, b: F.concat_ws(" ", a, b))
     if n > 1:
         joined = F.slice(joined, 1, F.greatest(F.size(w) - (n - 1), F.lit(0)))
     return rows.select(F.explode(joined).alias("term")).groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(most)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.functions.text import lower_words, normalized, stripped
+from chatmill.functions.text import lower_words, normalized, onward, stripped
+from chatmill.operators.redelivery import deduplicate_deliveries
 from chatmill.plans.scratch import Scratch
 
 # Parameters of the min-hash family.
@@ -15,19 +20,36 @@ PERMUTATIONS, BANDS = 128, 32
 PRIME = 4_294_967_311
 
 
-def exact_duplicates(rows: DataFrame, text: str, order: Sequence[str], least: int = 15) -> DataFrame:
+def _text_key(text: str, least: int) -> Column:
+    """Hash of the normalized text; null for texts that are too short to be anybody's copy."""
+    norm = normalized(F.col(text))
+    return F.when(F.length(norm) >= least, F.md5(norm))
+
+
+def exact_duplicates(rows: DataFrame, text: str, order: Sequence[str], least: int = 15, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``rows`` without later copies of a text; texts that normalize to fewer than ``least`` characters all stay.
 
-    Copies are rows whose text normalizes alike; the first in ``order`` stays (``order`` must have no ties for a defined
-    result). Winners are found by partial aggregation on the hash, so a text that a third of all rows have is no burden;
-    texts aren't shuffled, rows are matched with winners by their order columns.
+    Copies are rows whose text normalizes alike; the first in ``order`` stays (``order`` must have no ties or nulls for a
+    defined result). Only hashes and order columns are shuffled to find the copies. They are sent to the rows where they fit
+    ``broadcast_bytes``; else rows are matched with them by their order columns, which moves the rows: for large tables use
+    ``exact_duplicates_in_table``.
     """
-    keyed = rows.withColumn("_norm", normalized(F.col(text)))
-    short = F.length("_norm") < least
     at = F.struct(*[F.col(c) for c in order])
-    first = keyed.where(~short).select(F.md5("_norm").alias("_key"), at.alias("_at")).groupBy("_key").agg(F.min("_at").alias("_at")).select("_at")
-    kept = keyed.where(~short).withColumn("_at", at).join(first, "_at", "left_semi").drop("_at")
-    return keyed.where(short).unionByName(kept).drop("_norm")
+    keyed = Scratch(rows.sparkSession, "exact").save("keyed", rows.select(_text_key(text, least).alias("_key"), at.alias("_at")).where("_key is not null"))
+    first = keyed.groupBy("_key").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    copies = keyed.join(first, "_key").where(~F.col("_at").eqNullSafe(F.col("_first"))).select("_at")
+    copies = Scratch(rows.sparkSession, "copies").save("copies", copies)
+    small = copies.count() * 24 * (1 + len(order)) <= broadcast_bytes
+    return rows.withColumn("_at", at).join(F.broadcast(copies) if small else copies, "_at", "left_anti").drop("_at")
+
+
+def exact_duplicates_in_table(spark: SparkSession, path: str, text: str, order: Sequence[str], least: int = 15, columns: Sequence[str] | None = None) -> DataFrame:
+    """``exact_duplicates`` of a Parquet table, of which ``columns`` (all by default) are read without being shuffled.
+
+    Hashes, order and file positions are shuffled; losing rows become deletion vectors of their files.
+    """
+    kept = deduplicate_deliveries(spark, path, [_text_key(text, least)], order, columns)
+    return kept.drop("redelivered")
 
 
 def shingles(text: Column, size: int = 3) -> Column:
@@ -35,30 +57,83 @@ def shingles(text: Column, size: int = 3) -> Column:
     w = lower_words(text)
     joined = w
     for k in range(2, size + 1):
-        joined = F.zip_with(joined, F.slice(w, k, 1_000_000), lambda a, b: F.concat_ws(" ", a, b))
+        joined = F.zip_with(joined, onward(w, k), lambda a, b: F.concat_ws(" ", a, b))
     whole = F.slice(joined, 1, F.greatest(F.size(w) - (size - 1), F.lit(1)))
     return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < size, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(whole))
 
 
+_WORDS = re.compile(r"[^\W]+")
+
+
+class _Shingler:
+    """Sets of shingle hashes: words are hashed once each, shingles are combined from them."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.known: dict[str, int] = {}
+
+    def hashes(self, text: str | None) -> np.ndarray:
+        words = _WORDS.findall((text or "").lower())
+        if not words:
+            return np.zeros(0, np.int64)
+        if len(self.known) > 500_000:
+            self.known.clear()
+        out = np.empty(len(words), np.uint64)
+        for k, w in enumerate(words):
+            h = self.known.get(w)
+            if h is None:
+                h = self.known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            out[k] = h
+        size = min(self.size, len(words))
+        with np.errstate(over="ignore"):
+            total = np.full(len(out) - size + 1, size, np.uint64)
+            for k in range(size):
+                total = total * np.uint64(0x9E3779B97F4A7C15) + out[k : len(out) - size + 1 + k]
+                total ^= total >> np.uint64(31)
+        return np.unique(total.view(np.int64))
+
+
 def shingle_hashes(text: Column, size: int = 5) -> Column:
-    """The hashes of the text's shingles in order; equal for texts with equal sets of shingles."""
-    return F.sort_array(F.transform(shingles(text, size), lambda s: F.xxhash64(s)))
+    """The hashes of the text's shingles in order; equal for texts with equal sets of shingles, empty without words."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        shingler = _Shingler(size)
+        return texts.map(shingler.hashes)
+
+    return F.pandas_udf(run, "array<long>")(text)
+
+
+def _least(hashes: np.ndarray, permutations: int) -> np.ndarray:
+    """For each permutation the least image of the hashes."""
+    i = np.arange(1, permutations + 1, dtype=np.uint64)[:, None]
+    h = hashes.view(np.uint64) & np.uint64(0xFFFFFFFF)
+    out = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(h), 2048):
+        x = h[None, k : k + 2048] * (np.uint64(10007) * i + np.uint64(34229)) + (np.uint64(49999) * i + np.uint64(88123))
+        x -= x // np.uint64(PRIME) * np.uint64(PRIME)
+        np.minimum(out, x.min(1), out=out)
+    return (out & np.uint64(0xFFFFFFFF)).view(np.int64)
 
 
 def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, permutations: int = PERMUTATIONS) -> DataFrame:
     """The keys, ``set_key``, ``n`` and ``signature``: for each permutation the least hash of the text's shingles (all 0 without words).
 
-    ``set_key`` is equal for equal sets of shingles only, ``n`` is the size of the set.
+    ``set_key`` is equal for equal sets of shingles only, ``n`` is the size of the set. Each row is made by itself, in Arrow
+    batches; nothing is shuffled.
     """
-    hashed = rows.select(*keys, shingle_hashes(F.col(text), size).alias("_h"))
-    own = [*keys, "set_key", "n"]
-    # before the hashes are exploded, else the key is made once a hash
-    keyed = hashed.select(*keys, F.md5(F.array_join(F.col("_h").cast("array<string>"), ",")).alias("set_key"), F.size("_h").alias("n"), "_h")
-    held = keyed.select(*own, F.explode_outer("_h").alias("_s"))
-    h = F.col("_s").bitwiseAND(F.lit(0xFFFFFFFF))
-    least = [F.min(F.when(F.col("_s").isNotNull(), (h * (10007 * i + 34229) + (49999 * i + 88123)) % PRIME)).alias(f"_m{i}") for i in range(1, permutations + 1)]
-    found = held.groupBy(*own).agg(*least)
-    return found.select(*own, F.array(*[F.coalesce(F.col(f"_m{i}"), F.lit(0)).bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(1, permutations + 1)]).alias("signature"))
+
+    def run(texts: pd.Series) -> pd.Series:
+        shingler = _Shingler(size)
+
+        def one(text: str | None) -> np.ndarray:
+            h = shingler.hashes(text)
+            key = np.frombuffer(hashlib.md5(h.tobytes()).digest(), np.int64)
+            return np.concatenate((key, [len(h)], _least(h, permutations) if len(h) else np.zeros(permutations, np.int64)))
+
+        return texts.map(one)
+
+    made = rows.select(*keys, F.pandas_udf(run, "array<long>")(F.col(text)).alias("_all"))
+    return made.select(*keys, F.concat_ws("/", F.element_at("_all", 1), F.element_at("_all", 2)).alias("set_key"), F.element_at("_all", 3).cast("int").alias("n"), F.slice("_all", 4, permutations).alias("signature"))
 
 
 def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> DataFrame:
@@ -119,3 +194,24 @@ def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8
         return out.select(key, "class_key", (F.col(key) == F.col("class_key")).alias("kept"))
     out = out.join(gone.select(F.col("k").alias("class_key"), F.lit(True).alias("_gone")), "class_key", "left")
     return out.select(key, "class_key", ((F.col(key) == F.col("class_key")) & F.col("_gone").isNull()).alias("kept"))
+
+
+def against_index(rows: DataFrame, key: str, text: str, index: DataFrame, threshold: float = 0.8, least: int = 20, size: int = 5) -> DataFrame:
+    """For each row like an indexed one its ``key``, ``duplicate_of`` (the most similar, of equals the least) and ``similarity``.
+
+    ``index`` is a table of ``signatures`` under the column ``key``, such as an earlier run has written; rows that aren't found
+    are what it can be extended by. Similarity is the share of equal minima. Rows under ``least`` characters are in no pair.
+    The bands of both are joined; of indexed rows with equal sets of shingles the least stands for all.
+    """
+    rows_a_band = PERMUTATIONS // BANDS
+    bands = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows_a_band + 1, rows_a_band)).alias("bucket")) for b in range(BANDS)])).alias("x")
+    asked = signatures(rows.where(F.length(stripped(F.coalesce(text, F.lit("")))) >= least), [key], text, size)
+    own = asked.groupBy("set_key").agg(F.min(key).alias("k"), F.first("signature").alias("signature"))
+    known = index.groupBy("set_key").agg(F.min(key).alias("other"), F.first("signature").alias("signature"))
+    pairs = own.select("k", bands).join(known.select("other", bands), "x").select("k", "other").distinct()
+    both = pairs.join(own.select("k", F.col("signature").alias("a")), "k").join(known.select("other", F.col("signature").alias("b")), "other")
+    equal = F.size(F.filter(F.zip_with("a", "b", lambda a, b: a == b), lambda e: e))
+    found = both.select("k", "other", (equal / PERMUTATIONS).alias("similarity")).where(F.col("similarity") >= threshold)
+    best = found.groupBy("k").agg(F.min(F.struct(-F.col("similarity"), "other")).alias("b"))
+    members = asked.select(key, "set_key").join(own.select("set_key", "k"), "set_key")
+    return members.join(best, "k").select(key, F.col("b.other").alias("duplicate_of"), (-F.col("b.col1")).alias("similarity"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.functions.text import stripped, token_count, word_count
-from chatmill.operators.taxonomy import DEFAULT_DOMAIN, TAXONOMY
+from chatmill.operators.taxonomy import DEFAULT_DOMAIN, keywords_contained
 
 # Wordings by which a text gives itself away as written by a language model.
 MODEL_MARKS = (
@@ -33,9 +33,7 @@ def message_quality(text: Column) -> Column:
     """0 to 7.5, not rounded: length, keywords contained, sentence marks; low for trivial or machine-written texts."""
     low = F.lower(F.coalesce(text, F.lit("")))
     words = word_count(text)
-    hits = F.lit(0)
-    for k in sorted({k for ks in TAXONOMY.values() for k in ks}):
-        hits = hits + F.contains(low, F.lit(k)).cast("int")
+    hits = keywords_contained(text)
     bare = F.regexp_replace(low, r"^[!.?,]+|[!.?,]+$", "")
     marks = F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[.!?]"))
     score = F.lit(1.0) + F.least(F.lit(3.0), words / 15.0) + F.least(F.lit(3.0), hits * 0.6) + F.when(marks >= 2, 0.5).otherwise(0.0)

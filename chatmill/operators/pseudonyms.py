@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatmill.functions.text import stripped
+from chatmill.functions.text import onward, stripped
 from chatmill.plans.ranks import with_position
 
 # Ids that identify nobody.
@@ -67,7 +67,7 @@ def forward_headers(rows: DataFrame, column: str, known: DataFrame, order: Seque
     shown = found.select("_text", "_pos", "author_key").distinct().join(names, "author_key", "left")
     marks = shown.groupBy("_text").agg(F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("name_pseudonym", F.lit("[PERSON_REDACTED]")).alias("by")))).alias("_marks"))
     pieces = F.split(column, FORWARD, -1)
-    headed = F.zip_with(F.col("_marks.by"), F.slice(pieces, 2, 1_000_000), lambda by, rest: F.concat(F.lit("Forwarded from "), by, rest))
+    headed = F.zip_with(F.col("_marks.by"), onward(pieces, 2), lambda by, rest: F.concat(F.lit("Forwarded from "), by, rest))
     done = held.join(marks, "_text").withColumn(column, F.concat(F.element_at(pieces, 1), F.array_join(headed, "")))
     return done.select(*rows.columns).unionByName(rows.where(~has))
 

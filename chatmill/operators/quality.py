@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from chatmill.functions.text import stripped
+from chatmill.functions.text import onward, stripped
 
 # Limits of the dialogue monitor, and the keys each kind of exported line must have.
 LIMITS = {"empty_ratio": ("max", 0.01), "median_chars": ("min", 40.0), "role_balance": ("max", 0.30), "russian_ratio": ("min", 0.90), "duplicate_ratio": ("max", 0.05)}
@@ -27,7 +27,7 @@ def dialogue_features(rows: DataFrame, key: str, messages: str) -> DataFrame:
     k = F.size("l")
     median = F.when(k == 0, 0.0).otherwise((F.element_at("l", F.floor((k + 1) / 2).cast("int")) + F.element_at("l", F.floor(k / 2).cast("int") + 1)) / 2.0)
     russian = F.size(F.filter("t", lambda m: m["content"].rlike("[а-яА-ЯёЁ]")))
-    repeated = F.size(F.filter(F.zip_with("t", F.slice("t", 2, 1_000_000), lambda a, b: b.isNotNull() & (stripped(a["content"]) == stripped(b["content"])) & (stripped(b["content"]) != "")), lambda x: x))
+    repeated = F.size(F.filter(F.zip_with("t", onward("t", 2), lambda a, b: b.isNotNull() & (stripped(a["content"]) == stripped(b["content"])) & (stripped(b["content"]) != "")), lambda x: x))
     some = F.col("turns") > 0
     return frame.select(
         key, F.col("turns").cast("long").alias("turns"), F.col("answers").cast("long").alias("answers"), F.col("empty_answers").cast("long").alias("empty_answers"), median.alias("median_chars"),

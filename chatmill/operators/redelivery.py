@@ -30,31 +30,40 @@ def _with_position(frame: DataFrame) -> list[Column]:
     return [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
 
 
-def delivery_winners(spark: SparkSession, path: str | Sequence[str], key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _narrow(spark: SparkSession, path: str | Sequence[str], key: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
+    """Identifier, order and position of each row that has an identifier."""
+    source = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    rows = source.select(*[(F.col(k) if isinstance(k, str) else k).alias(f"_k{n}") for n, k in enumerate(key)], *[F.col(c).alias(f"_o{n}") for n, c in enumerate(order)], *_with_position(source))
+    known = F.lit(True)
+    for n in range(len(key)):
+        known = known & F.col(f"_k{n}").isNotNull()
+    return rows.where(known)
+
+
+def _winners(narrow: DataFrame, keys: int, orders: int) -> DataFrame:
+    rank = F.struct(*[x for n in range(orders) for x in (F.col(f"_o{n}").isNull().alias(f"_n{n}"), F.col(f"_o{n}"))], F.col("_file"), F.col("_row"))
+    return narrow.groupBy(*[f"_k{n}" for n in range(keys)]).agg(F.min(rank).alias("_w"), F.count("*").alias("_copies"))
+
+
+def delivery_winners(spark: SparkSession, path: str | Sequence[str], key: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """Identifier, position of the copy to keep and number of copies; rows with a null in the key are left out.
 
     The first delivery wins: smallest ``order`` (nulls last), then file and row.
     """
-    source = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    narrow = source.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(key)], *[F.col(c).alias(f"_o{n}") for n, c in enumerate(order)], *_with_position(source))
-    keys = [f"_k{n}" for n in range(len(key))]
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    rank = F.struct(*[x for n in range(len(order)) for x in (F.col(f"_o{n}").isNull().alias(f"_n{n}"), F.col(f"_o{n}"))], F.col("_file"), F.col("_row"))
-    return narrow.where(known).groupBy(*keys).agg(F.min(rank).alias("_w"), F.count("*").alias("_copies"))
+    return _winners(_narrow(spark, path, key, order), len(key), len(order))
 
 
-def deletion_vectors(spark: SparkSession, path: str | Sequence[str], key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def deletion_vectors(spark: SparkSession, path: str | Sequence[str], key: Sequence[str | Column], order: Sequence[str]) -> DataFrame:
     """A row for each run of 32,768 rows of a file that holds a repeated message: bitmaps ``dead`` and ``kept``.
 
-    ``kept`` marks the remaining copy of a message that came more than once.
+    ``kept`` marks the remaining copy of a message that came more than once. A key that has to be computed is so once.
     """
     keys = [f"_k{n}" for n in range(len(key))]
-    repeated = delivery_winners(spark, path, key, order).where("_copies > 1").select(*keys, F.col("_w._file").alias("_wf"), F.col("_w._row").alias("_wr"))
-    source = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    rows = source.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(key)], *_with_position(source))
-    marks = rows.join(repeated, keys).select(
+    narrow = _narrow(spark, path, key, order)
+    if not all(isinstance(k, str) for k in key):
+        narrow = Scratch(spark, "narrow").save("narrow", narrow)
+    repeated = _winners(narrow, len(key), len(order)).where("_copies > 1").select(*keys, F.col("_w._file").alias("_wf"), F.col("_w._row").alias("_wr"))
+    marks = narrow.select(*keys, "_file", "_row").join(repeated, keys).select(
         "_file",
         F.bitmap_bucket_number(F.col("_row") + 1).alias("_bucket"),
         F.bitmap_bit_position(F.col("_row") + 1).alias("_bit"),
@@ -74,7 +83,7 @@ def _bit(bitmap: str) -> Column:
 def deduplicate_deliveries(
     spark: SparkSession,
     path: str | Sequence[str],
-    key: Sequence[str] = ("chat_id", "msg_id"),
+    key: Sequence[str | Column] = ("chat_id", "msg_id"),
     order: Sequence[str] = ("batch_id", "ingested_at"),
     columns: Sequence[str] | None = None,
     broadcast_bytes: int = 64 << 20,

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatmill.functions.text import onward
 from chatmill.plans.scratch import Scratch
 
 TERM = r"([\p{L}\p{N}_]{2,})"
@@ -30,7 +31,7 @@ def keyword_score(text: Column, words: list[str]) -> Column:
 
 def _terms(text: Column) -> Column:
     w = F.regexp_extract_all(F.lower(text), F.lit(TERM), 1)
-    pairs = F.slice(F.zip_with(w, F.slice(w, 2, 1_000_000), lambda a, b: F.concat_ws(" ", a, b)), 1, F.greatest(F.size(w) - 1, F.lit(0)))
+    pairs = F.slice(F.zip_with(w, onward(w, 2), lambda a, b: F.concat_ws(" ", a, b)), 1, F.greatest(F.size(w) - 1, F.lit(0)))
     return F.concat(w, pairs)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 import pandas as pd
@@ -37,22 +38,64 @@ def domain_scores(text: Column, taxonomy: Mapping[str, list[str]] = TAXONOMY) ->
     """Array of (domain, score) with a positive score, best first; ties by name.
 
     A keyword counts once if it is a token. A keyword of several words counts if each of them stands between spaces
-    anywhere in the text.
+    anywhere in the text. All keywords are looked up at once, in Arrow batches.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    tokens = F.array_distinct(F.regexp_extract_all(low, F.lit(TOKEN), 1))
-    padded = F.concat(F.lit(" "), low, F.lit(" "))
-    parts = []
-    for domain in sorted(taxonomy):
-        single = [k for k in taxonomy[domain] if " " not in k]
-        score = F.size(F.array_intersect(tokens, F.array(*[F.lit(k) for k in single])))
-        for phrase in (k for k in taxonomy[domain] if " " in k):
-            every = F.lit(True)
-            for w in phrase.split():
-                every = every & F.contains(padded, F.lit(f" {w} "))
-            score = score + every.cast("int")
-        parts.append(F.struct((-score).alias("minus"), F.lit(domain).alias("domain")))
-    return F.transform(F.filter(F.array_sort(F.array(*parts)), lambda x: x["minus"] < 0), lambda x: F.struct(x["domain"].alias("domain"), (-x["minus"]).alias("score")))
+    domains = sorted(taxonomy)
+    single: dict[str, list[int]] = {}
+    several = []
+    for n, d in enumerate(domains):
+        for k in dict.fromkeys(taxonomy[d]):
+            if " " in k:
+                several.append((n, [f" {w} " for w in k.split()]))
+            else:
+                single.setdefault(k, []).append(n)
+    known = frozenset(single)
+
+    def count(texts: pd.Series) -> pd.Series:
+        token = re.compile(TOKEN)
+
+        def one(text: str | None) -> list[int]:
+            low = (text or "").lower()
+            out = [0] * len(domains)
+            for k in known.intersection(token.findall(low)):
+                for n in single[k]:
+                    out[n] += 1
+            padded = f" {low} "
+            for n, parts in several:
+                if all(p in padded for p in parts):
+                    out[n] += 1
+            return out
+
+        return texts.map(one)
+
+    scores = F.pandas_udf(count, "array<int>")(text)
+    named = F.zip_with(scores, F.array(*[F.lit(d) for d in domains]), lambda s, d: F.struct((-s).alias("minus"), d.alias("domain")))
+    return F.transform(F.filter(F.array_sort(named), lambda x: x["minus"] < 0), lambda x: F.struct(x["domain"].alias("domain"), (-x["minus"]).alias("score")))
+
+
+def _automaton(words: list[str]):
+    try:
+        import ahocorasick
+    except ImportError:
+        return None
+    automaton = ahocorasick.Automaton()
+    for w in words:
+        automaton.add_word(w, w)
+    automaton.make_automaton()
+    return automaton
+
+
+def keywords_contained(text: Column, taxonomy: Mapping[str, list[str]] = TAXONOMY) -> Column:
+    """How many different keywords the text contains, also within words."""
+    words = sorted({k for ks in taxonomy.values() for k in ks})
+
+    def count(texts: pd.Series) -> pd.Series:
+        automaton = _automaton(words)
+        if automaton is None:
+            return texts.map(lambda t: sum(w in (t or "").lower() for w in words))
+        return texts.map(lambda t: len({w for _, w in automaton.iter((t or "").lower())}))
+
+    return F.pandas_udf(count, "int")(text)
 
 
 def classified(rows: DataFrame, text: str, taxonomy: Mapping[str, list[str]] = TAXONOMY) -> DataFrame:
@@ -72,16 +115,7 @@ def tags(text: Column, taxonomy: Mapping[str, list[str]] = TAXONOMY) -> Column:
     words = sorted({k for ks in taxonomy.values() for k in ks})
 
     def find(texts: pd.Series) -> pd.Series:
-        automaton = None
-        try:
-            import ahocorasick
-
-            automaton = ahocorasick.Automaton()
-            for w in words:
-                automaton.add_word(w, w)
-            automaton.make_automaton()
-        except ImportError:
-            pass
+        automaton = _automaton(words)
         joins = lambda c: c.isalnum() or c in "_-"
 
         def one(text: str | None) -> list[str]:

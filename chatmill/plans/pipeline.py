@@ -38,11 +38,11 @@ def clean(messages: DataFrame, communities: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def without_duplicates(rows: DataFrame) -> DataFrame:
-    """Exact copies and near duplicates go; the first in the order of all messages stays."""
+def without_duplicates(rows: DataFrame, path: str | None = None) -> DataFrame:
+    """Exact copies and near duplicates go; the first in the order of all messages stays. ``path``: where the rows lie, if they do."""
     from chatmill.plans.ranks import with_position
 
-    exact = dedup.exact_duplicates(rows, "text_clean", ORDER)
+    exact = dedup.exact_duplicates_in_table(rows.sparkSession, path, "text_clean", ORDER) if path else dedup.exact_duplicates(rows, "text_clean", ORDER)
     placed = Scratch(rows.sparkSession, "placed").save("placed", with_position(exact, [F.col(c) for c in ORDER], "_place"))
     kept = dedup.near_duplicates(placed, "_place", "text_clean").where("kept").select("_place")
     return placed.join(kept, "_place", "left_semi").drop("_place")
@@ -66,7 +66,7 @@ def run(spark: SparkSession, sources: Sequence[str], out: str, communities: Sequ
         stage = "redaction"
         cleaned = scratch.save("cleaned", clean(raw, communities))
         stage = "deduplication"
-        unique = scratch.save("unique", without_duplicates(cleaned))
+        unique = scratch.save("unique", without_duplicates(cleaned, scratch.path("cleaned")))
         stage = "tagging and threads"
         full = scratch.save("full", thread(tag(unique)))
         stage = "extraction"

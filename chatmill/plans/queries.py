@@ -9,7 +9,7 @@ from chatmill.functions import text as T
 from chatmill.operators import analytics, audit, dedup, drift, evaluation, extract, network, pseudonyms, quality, reports, retrieval, scrub, taxonomy, threads
 from chatmill.plans.scratch import Scratch
 from chatmill.sources import contract, exports
-from chatmill.sources.tables import table
+from chatmill.sources.tables import path, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -143,7 +143,7 @@ k AS (SELECT doc_id, length(t) AS l, row_number() OVER (PARTITION BY md5(t) ORDE
 SELECT doc_id FROM k WHERE l < 15 OR r = 1"""
 )
 def d_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.exact_duplicates(table(spark, sf, "documents"), "text", ["doc_id"]).select("doc_id")
+    return dedup.exact_duplicates_in_table(spark, path(sf, "documents"), "text", ["doc_id"]).select("doc_id")
 
 
 @query(
@@ -161,6 +161,23 @@ def d_near(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
+@query(
+    f"""WITH n AS (SELECT doc_id, {_normal('text')} AS t FROM documents), k AS (SELECT doc_id, length(t) AS l, row_number() OVER (PARTITION BY md5(t) ORDER BY doc_id) AS r FROM n)
+SELECT d.* FROM documents d JOIN k USING (doc_id) WHERE l < 15 OR r = 1"""
+)
+def d_exact_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as of any frame, with all columns."""
+    return dedup.exact_duplicates(table(spark, sf, "documents"), "text", ["doc_id"])
+
+
+@query()
+def d_index(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents against an index of those of one source."""
+    rows = table(spark, sf, "documents")
+    index = Scratch(spark, "index").save("index", dedup.signatures(rows.where("source = 'community_node_07'"), ["doc_id"], "text"))
+    return dedup.against_index(rows.where("source <> 'community_node_07'"), "doc_id", "text", index)
+
+
 # domains, tags and mood
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType
 
-from chatmill.functions.text import stripped
+from chatmill.functions.text import onward, stripped
 
 VERSION = "1.0.0"
 _STRINGS = ArrayType(StringType())
@@ -75,7 +75,7 @@ def sharegpt(dialogues: DataFrame) -> DataFrame:
 
 def instruction_pairs(dialogues: DataFrame) -> DataFrame:
     """A row for each user turn that an assistant turn follows: thread_id, pair_no, instruction, input, output."""
-    after = F.slice("messages", 2, 1_000_000)
+    after = onward("messages", 2)
     pairs = F.zip_with("messages", after, lambda a, b: F.struct(a["role"].alias("r"), b["role"].alias("s"), a["content"].alias("instruction"), b["content"].alias("output")))
     rows = dialogues.select("thread_id", "topic_domain", "topic_tags", "quality_score", F.posexplode(pairs).alias("pair_no", "p")).where("p.r = 'user' and p.s = 'assistant'")
     return rows.select("thread_id", F.col("pair_no").cast("long").alias("pair_no"), "p.instruction", F.lit("").alias("input"), "p.output", F.col("topic_domain").alias("domain"), F.col("topic_tags").alias("tags"), "quality_score")
