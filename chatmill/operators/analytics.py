@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.functions.text import content_words, onward, stripped, token_count, word_count
-from chatmill.plans.ranks import with_previous
+from chatmill.operators.taxonomy import AI, BACKEND, DEVOPS
+from chatmill.plans.ranks import with_previous, with_running_sum
 from chatmill.plans.scratch import Scratch
 
 # Jargon of the community that is counted.
@@ -23,13 +24,15 @@ CODE_MARKS = ("```", "def ", "class ", "import ", "function ", "const ", "SELECT
 def rank_percentiles(rows: DataFrame, value: str, shares: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99), by: Sequence[str] = ()) -> DataFrame:
     """``n``, ``mean``, ``std`` (of a sample), ``least``, ``most`` and ``p25``... as the value at rank int(share * n).
 
-    The ranks come from counts of distinct values, so what is put in order is at most the number of different values.
+    The ranks come from counts of distinct values, put in order by ranges.
     """
     by = list(by)
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*by).orderBy("v") if by else Window.orderBy("v")
-    total = Window.partitionBy(*by)
-    ranked = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(total))
+    # ranks by ranges, so that no key and no task has all different values
+    ordered = with_running_sum(counts, [*[F.col(c) for c in by], F.col("v")], "c", "all")
+    ordered = Scratch(rows.sparkSession, "percentiles").save("ordered", ordered)
+    groups = ordered.groupBy(*by).agg(F.min(F.col("all") - F.col("c")).alias("before"), F.sum("c").alias("n"))
+    ranked = (ordered.join(groups.withColumnsRenamed({c: f"_{c}" for c in by}), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]) if by else ordered.crossJoin(F.broadcast(groups))).withColumn("upto", F.col("all") - F.col("before"))
     picks = [F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * s), F.col("n") - 1), F.col("v"))).alias(f"p{round(s * 100)}") for s in shares]
     mean = F.sum(F.col("v") * F.col("c")) / F.sum("c")
     squares = F.sum(F.col("v").cast("double") * F.col("v") * F.col("c"))
@@ -48,6 +51,14 @@ def volume(rows: DataFrame) -> DataFrame:
     )
 
 
+def volume_distributions(rows: DataFrame) -> DataFrame:
+    """``measure`` and statistics of characters, words and tokens of the messages, and of messages an author."""
+    text = F.col("text_clean")
+    measured = rows.select(F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), c.cast("long").alias("v")) for n, c in (("characters", F.length(F.coalesce(text, F.lit("")))), ("words", word_count(text)), ("tokens", token_count(text)))])).alias("x")).select("x.*")
+    authors = rows.groupBy(F.coalesce("author_anon", F.lit(""))).agg(F.count("*").alias("v")).select(F.lit("messages an author").alias("measure"), "v")
+    return rank_percentiles(measured.unionByName(authors), "v", by=["measure"])
+
+
 def activity(rows: DataFrame, unit: str) -> DataFrame:
     """``bucket`` and messages by hour, weekday (Monday 0), month or year, of times in UTC."""
     at = F.timestamp_seconds("unixtime")
@@ -130,6 +141,15 @@ def yearly_terms(rows: DataFrame, text: str, most: int = 8) -> DataFrame:
     return said.withColumn("place", F.row_number().over(Window.partitionBy("year").orderBy(F.desc("n"), "term"))).where(F.col("place") <= most)
 
 
+def yearly_technology(rows: DataFrame, text: str, most: int = 8, among: int = 40) -> DataFrame:
+    """The technical words among the ``among`` most frequent content words of each year, and the year's messages."""
+    technical = sorted({*SLANG, *AI, *BACKEND, *DEVOPS})
+    found = yearly_terms(rows, text, among).where(F.col("term").isin(*technical)).drop("place")
+    placed = found.withColumn("place", F.row_number().over(Window.partitionBy("year").orderBy(F.desc("n"), "term"))).where(F.col("place") <= most)
+    sizes = rows.where("unixtime is not null").groupBy(F.year(F.timestamp_seconds("unixtime")).alias("year")).agg(F.count("*").alias("messages"))
+    return placed.join(sizes, "year")
+
+
 def noise(rows: DataFrame) -> DataFrame:
     text = F.coalesce("text_clean", F.lit(""))
     return rows.agg(F.count("*").alias("messages"), F.count_if(F.length(stripped(text)) < 20).alias("short"), F.count_if(word_count(text) == 0).alias("wordless"), F.count_if(F.abs("sentiment_score") >= 2).alias("emotional"))

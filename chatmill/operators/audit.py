@@ -58,7 +58,8 @@ def z_value(confidence: float, one_sided: bool = False) -> float:
 
 def wilson(hits: Column, n: Column, z: float) -> tuple[Column, Column]:
     """Lower and upper Wilson bound of a rate; 0 and 1 where there are no trials."""
-    p = hits / F.nullif(n, F.lit(0))
+    n = F.nullif(n, F.lit(0))
+    p = hits / n
     middle = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
     return F.coalesce(F.greatest(middle - half, F.lit(0.0)), F.lit(0.0)), F.coalesce(F.least(middle + half, F.lit(1.0)), F.lit(1.0))
@@ -71,23 +72,42 @@ def required_sample(tolerance: float, confidence: float = 0.99) -> int:
 
 
 def run_audit(rows: DataFrame, text: str, stratum: str, key: Column, size: int = 100_000, confidence: float = 0.99, tolerance: float = 1e-4) -> DataFrame:
-    """A row for each category and one for ``total``: messages, with leaks, leaks, rate, bounds and verdict.
+    """A row for each category and one for ``total``: messages, with leaks, leaks, rate, bounds, examples and verdict.
 
-    The verdict of the total is PASSED if the one-sided upper bound is at most ``tolerance``; an empty table FAILS.
-    Missing columns raise.
+    The verdict is PASSED if the one-sided upper bound is at most ``tolerance``; an empty table FAILS. Missing columns
+    raise. ``examples`` are at most five keys of messages with a leak, the least ones; no leaked text is shown.
     """
     missing = [c for c in (text, stratum) if c not in rows.columns]
     if missing:
         raise ValueError(f"columns missing: {missing}")
-    found = leak_counts(stratified_sample(rows, stratum, key, size), text)
-    names = [f"leak_{k}" for k in DETECTORS]
-    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    parts = F.explode(F.array(*[F.struct(F.lit(k).alias("category"), F.col(f"leak_{k}").alias("k")) for k in DETECTORS], F.struct(F.lit("total").alias("category"), total.alias("k")))).alias("x")
-    sums = found.select(parts).groupBy("x.category").agg(F.count("*").alias("messages"), F.count_if(F.col("x.k") > 0).alias("with_leaks"), F.sum("x.k").alias("leaks"))
+    found = _audited(rows, text, stratum, key, size)
+    sums = [F.struct(F.lit(k).alias("category"), F.count("*").alias("messages"), F.count_if(F.col(c) > 0).alias("with_leaks"), F.coalesce(F.sum(c), F.lit(0)).alias("leaks"), _examples(F.col(c) > 0).alias("examples")).alias(c) for k, c in _leak_columns()]
+    one = found.agg(*sums).select(F.explode(F.array(*[c for _, c in _leak_columns()])).alias("x")).select("x.*")
     low, high = wilson(F.col("with_leaks"), F.col("messages"), z_value(confidence))
     _, upper = wilson(F.col("with_leaks"), F.col("messages"), z_value(confidence, one_sided=True))
-    out = sums.select("category", "messages", "with_leaks", "leaks", (F.col("with_leaks") / F.col("messages")).alias("rate"), low.alias("low"), high.alias("high"), upper.alias("upper"))
-    return out.withColumn("verdict", F.when(F.col("upper") <= tolerance, "PASSED").otherwise("FAILED"))
+    rate = F.coalesce(F.col("with_leaks") / F.nullif(F.col("messages"), F.lit(0)), F.lit(0.0))
+    out = one.select("category", "messages", "with_leaks", "leaks", rate.alias("rate"), low.alias("low"), high.alias("high"), upper.alias("upper"), "examples")
+    return out.withColumn("verdict", F.when((F.col("messages") > 0) & (F.col("upper") <= tolerance), "PASSED").otherwise("FAILED"))
+
+
+def audit_strata(rows: DataFrame, text: str, stratum: str, key: Column, size: int = 100_000) -> DataFrame:
+    """The stratum, messages drawn from it and how many of them have a leak."""
+    return _audited(rows, text, stratum, key, size).groupBy(stratum).agg(F.count("*").alias("messages"), F.count_if(F.col("leak_total") > 0).alias("with_leaks"))
+
+
+def _leak_columns() -> list[tuple[str, str]]:
+    return [(k, f"leak_{k}") for k in (*DETECTORS, "total")]
+
+
+def _audited(rows: DataFrame, text: str, stratum: str, key: Column, size: int) -> DataFrame:
+    found = leak_counts(stratified_sample(rows, stratum, key, size), text)
+    names = [f"leak_{k}" for k in DETECTORS]
+    return found.withColumn("_key", key.cast("string")).withColumn("leak_total", sum((F.col(c) for c in names[1:]), F.col(names[0])))
+
+
+def _examples(leaks: Column) -> Column:
+    # a sample bounds what is collected
+    return F.slice(F.array_sort(F.collect_list(F.when(leaks, F.col("_key")))), 1, 5)
 
 
 def mcnemar(pairs: DataFrame, a: str, b: str) -> DataFrame:

@@ -206,12 +206,12 @@ def against_index(rows: DataFrame, key: str, text: str, index: DataFrame, thresh
     rows_a_band = PERMUTATIONS // BANDS
     bands = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows_a_band + 1, rows_a_band)).alias("bucket")) for b in range(BANDS)])).alias("x")
     asked = signatures(rows.where(F.length(stripped(F.coalesce(text, F.lit("")))) >= least), [key], text, size)
-    own = asked.groupBy("set_key").agg(F.min(key).alias("k"), F.first("signature").alias("signature"))
+    own = asked.groupBy("set_key").agg(F.min(key).alias("_rep"), F.first("signature").alias("signature"))
     known = index.groupBy("set_key").agg(F.min(key).alias("other"), F.first("signature").alias("signature"))
-    pairs = own.select("k", bands).join(known.select("other", bands), "x").select("k", "other").distinct()
-    both = pairs.join(own.select("k", F.col("signature").alias("a")), "k").join(known.select("other", F.col("signature").alias("b")), "other")
+    pairs = own.select("_rep", bands).join(known.select("other", bands), "x").select("_rep", "other").distinct()
+    both = pairs.join(own.select("_rep", F.col("signature").alias("a")), "_rep").join(known.select("other", F.col("signature").alias("b")), "other")
     equal = F.size(F.filter(F.zip_with("a", "b", lambda a, b: a == b), lambda e: e))
-    found = both.select("k", "other", (equal / PERMUTATIONS).alias("similarity")).where(F.col("similarity") >= threshold)
-    best = found.groupBy("k").agg(F.min(F.struct(-F.col("similarity"), "other")).alias("b"))
-    members = asked.select(key, "set_key").join(own.select("set_key", "k"), "set_key")
-    return members.join(best, "k").select(key, F.col("b.other").alias("duplicate_of"), (-F.col("b.col1")).alias("similarity"))
+    found = both.select("_rep", "other", (equal / PERMUTATIONS).alias("similarity")).where(F.col("similarity") >= threshold)
+    best = found.groupBy("_rep").agg(F.min(F.struct(-F.col("similarity"), "other")).alias("b"))
+    members = asked.select(key, "set_key").join(own.select("set_key", "_rep"), "set_key")
+    return members.join(best, "_rep").select(key, F.col("b.other").alias("duplicate_of"), (-F.col("b.col1")).alias("similarity"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatmill.plans.ranks import with_position
@@ -49,3 +49,20 @@ def graph_measures(edge: DataFrame) -> DataFrame:
     pairs = mutual_pairs(edge).agg(F.count("*").alias("mutual_pairs"))
     possible = F.when(F.col("nodes") > 1, F.col("nodes") * (F.col("nodes") - 1)).otherwise(1)
     return nodes.crossJoin(F.broadcast(sums)).crossJoin(F.broadcast(pairs)).withColumn("density", F.col("edges") / possible)
+
+
+def top_degrees(edge: DataFrame, most: int = 15) -> DataFrame:
+    """``kind`` (received, given), ``place``, ``author`` and ``n`` of those who get and give most replies; ties by name."""
+    both = degrees(edge)
+    out = None
+    for kind in ("received", "given"):
+        # the limit keeps what is numbered small
+        some = both.where(F.col(kind) > 0).orderBy(F.desc(kind), "author").limit(most)
+        part = some.select(F.lit(kind).alias("kind"), F.row_number().over(Window.orderBy(F.desc(kind), "author")).alias("place"), "author", F.col(kind).alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def strong_pairs(edge: DataFrame, least: int = 10, most: int = 12) -> DataFrame:
+    """The pairs with the most replies to each other, at least ``least``; ties by names."""
+    return mutual_pairs(edge).where(F.col("total") >= least).orderBy(F.desc("total"), "user_a", "user_b").limit(most)

@@ -8,8 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatmill.functions.text import onward, stripped
+from chatmill.functions.names import case_forms
+from chatmill.functions.text import WORD, onward, stripped
 from chatmill.plans.ranks import with_position
+from chatmill.plans.scratch import Scratch
 
 # Ids that identify nobody.
 NOBODY = ("", "none", "unknown", "anonymous", "null")
@@ -79,11 +81,18 @@ def author_names(rows: DataFrame, name: str, whitelist: Sequence[str] = ()) -> D
     return found.where(~F.lower("word").isin(*[w.lower() for w in whitelist])) if whitelist else found
 
 
-def all_names(rows: DataFrame, name: str) -> DataFrame:
-    """``word`` of author names to be masked in published texts: those of ``author_names`` and known first names in any case."""
+def all_names(rows: DataFrame, name: str, inflected: bool = True) -> DataFrame:
+    """``word`` of author names to be masked in published texts: those of ``author_names`` and known first names in any case.
+
+    ``inflected`` adds their forms in the cases, by the endings of declensions.
+    """
     word = F.explode(F.regexp_extract_all(F.lower(F.col(name)), F.lit(r"([\p{L}\p{N}_]+)"), 1)).alias("word")
     known = rows.select(word).where(F.col("word").isin(*FIRST_NAMES))
-    return author_names(rows, name, TRADE).select(F.lower("word").alias("word")).union(known).distinct()
+    found = author_names(rows, name, TRADE).select(F.lower("word").alias("word")).union(known).distinct()
+    if not inflected:
+        return found
+    forms = F.pandas_udf(lambda words: words.map(case_forms), "array<string>")
+    return found.select(F.explode(forms("word")).alias("word")).where(~F.col("word").isin(*TRADE)).distinct()
 
 
 def mask_words(rows: DataFrame, column: str, names: DataFrame, out: str = "text_masked", most_bytes: int = 32 << 20, any_case: bool = False) -> DataFrame:
@@ -101,13 +110,14 @@ def mask_words(rows: DataFrame, column: str, names: DataFrame, out: str = "text_
         def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             import re
 
-            token = re.compile(r"\w+")
+            token = re.compile(r"\w+")  # letters, digits and underscore, as below
             for texts in batches:
                 known = sent.value
                 yield texts.map(lambda t: None if t is None else token.sub(lambda m: "[PERSON_REDACTED]" if (m[0].lower() if any_case else m[0]) in known else m[0], t))
 
         return rows.withColumn(out, F.pandas_udf(mask, "string")(F.col(column)))
-    keyed = rows.withColumn("_id", F.monotonically_increasing_id())
-    pieces = keyed.select("_id", F.posexplode(F.split(column, r"(?U)(?<=\w)(?=\W)|(?<=\W)(?=\w)")).alias("_pos", "word"))
+    # ids are made once, as both sides of the join read what is written
+    keyed = Scratch(rows.sparkSession, "masked").save("keyed", rows.withColumn("_id", F.monotonically_increasing_id()))
+    pieces = keyed.select("_id", F.posexplode(F.split(column, rf"(?<={WORD})(?=[^\p{{L}}\p{{N}}_])|(?<=[^\p{{L}}\p{{N}}_])(?={WORD})")).alias("_pos", "word"))
     masked = pieces.withColumn("_key", F.lower("word") if any_case else F.col("word")).join(names.select(F.col("word").alias("_key"), F.lit(True).alias("_hit")), "_key", "left").groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("_pos", F.when(F.col("_hit"), "[PERSON_REDACTED]").otherwise(F.col("word")).alias("w")))).alias("_all"))
     return keyed.join(masked, "_id", "left").withColumn(out, F.when(F.col(column).isNotNull(), F.array_join(F.col("_all.w"), ""))).drop("_id", "_all")

@@ -76,6 +76,28 @@ def check_lines(rows: DataFrame, artifact: str, line: str) -> DataFrame:
     return frame.groupBy(artifact).agg(F.count("*").alias("lines"), F.count_if(F.col("s") == "blank").alias("blank"), F.count_if(F.col("s") == "corrupt").alias("corrupt"), F.count_if(valid & ~F.coalesce("shaped", F.lit(True))).alias("shape_errors"), F.count_if(valid & F.coalesce("shaped", F.lit(True))).alias("valid"))
 
 
+PROBED = ("phones", "emails", "api_keys", "crypto_wallets", "community_names")
+
+
+def leak_probe(lines: DataFrame, line: str, order: Sequence[str], most: int = 10_000, communities: Sequence[str] = ()) -> DataFrame:
+    """One row: lines probed, the redactions that the rules would still make in them by category, their sum, and ``passed``.
+
+    The probe is the first ``most`` lines of a chat export in ``order``, as its feature is. Contents of a line's messages are
+    joined; lines that aren't such objects have none. No lines pass no probe.
+    """
+    from chatmill.operators import scrub
+
+    rules = [r for r in scrub.RULES if r.category in ("db_urls", "ssh_keys", "jwt_tokens", *PROBED)]
+    some = lines.orderBy(*order).limit(most)
+    said = F.from_json(F.col(line), "struct<messages: array<struct<content: string>>>")["messages"]["content"]
+    texts = some.select(F.array_join(F.coalesce(said, F.array().cast("array<string>")), " ").alias("_said"))
+    found = scrub.scrub(texts, "_said", [*rules, scrub.community_rule(communities)] if communities else rules)
+    sums = {c: F.coalesce(F.sum(f"n_{c}"), F.lit(0)) if f"n_{c}" in found.columns else F.lit(0).cast("long") for c in PROBED}
+    out = found.agg(F.count("*").alias("lines"), *[v.alias(k) for k, v in sums.items()])
+    out = out.withColumn("leaks", sum((F.col(c) for c in PROBED[1:]), F.col(PROBED[0])))
+    return out.withColumn("passed", (F.col("lines") > 0) & (F.col("leaks") == 0))
+
+
 def check_contract(found: StructType, wanted: StructType, rows: int | None = None) -> tuple[str, list[str]]:
     """Verdict VALID, EMPTY or INVALID, and what differs: names, order or types of columns."""
     if rows == 0:

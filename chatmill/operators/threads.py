@@ -43,7 +43,7 @@ def build_threads(rows: DataFrame, hours: int = REPLY_HOURS, burst: int = BURST_
     # a run breaks at another chat, after a tree message and after a gap; runs are numbered through all chats
     same = F.coalesce((F.col("prev_chat_id") == F.col("chat_id")) & ~F.col("prev_in_tree") & (F.col("unixtime") - F.col("prev_unixtime") <= burst), F.lit(False))
     marked = ordered.withColumn("_break", F.when(~F.col("in_tree") & ~same, 1).otherwise(0))
-    runs = with_running_sum(marked.select("chat_id", "msg_id", "unixtime", "depth", "in_tree", "root_id", "place", "_break"), "place", "_break", "_run")
+    runs = with_running_sum(marked.select("chat_id", "msg_id", "unixtime", "depth", "in_tree", "root_id", "place", "_break"), [F.col("place")], "_break", "_run")
     runs = scratch.save("runs", runs.withColumn("group", F.when(F.col("in_tree"), F.col("root_id")).otherwise(-F.col("_run"))).select("chat_id", "msg_id", "unixtime", "depth", "in_tree", "group"))
     root = F.when(~F.col("in_tree") | (F.col("depth") == 0), F.struct("unixtime", "msg_id"))
     groups = runs.groupBy("chat_id", "in_tree", "group").agg(F.count("*").alias("n"), F.min(root).alias("first"))

@@ -22,12 +22,19 @@ class StageError(Exception):
 
 
 def clean(messages: DataFrame, communities: Sequence[str] = ()) -> DataFrame:
-    """Normalized to cleaned messages: pseudonyms, redaction also of forward headers and authors' names, counts; service and blank messages go."""
-    rules = (*scrub.RULES, scrub.community_rule(communities)) if communities else scrub.RULES
+    """Normalized to cleaned messages; service and blank messages go.
+
+    In this order: redaction with pseudonyms in forward headers, numbered mentions, community names, pseudonyms of authors, their
+    names in all cases wherever texts hold them, counts.
+    """
+    rules = [r for r in scrub.RULES if r.category != "user_mentions"]
     own = messages.where(~F.coalesce("is_service", F.lit(False)) & (T.stripped(F.coalesce("text_raw", F.lit(""))) != ""))
     scratch = Scratch(messages.sparkSession, "names")
     known = scratch.save("known", pseudonyms.pseudonyms(own, "author_id_raw", "author_raw", ORDER))
-    done = scrub.scrub_forwards(own, "text_raw", known, ORDER, rules, counts=False)
+    done = scratch.save("scrubbed", scrub.scrub_forwards(own, "text_raw", known, ORDER, rules, counts=False))
+    done = scrub.number_mentions(done, "text_scrubbed", ORDER)
+    if communities:
+        done = done.withColumn("text_scrubbed", scrub.scrubbed(F.col("text_scrubbed"), [scrub.community_rule(communities)]))
     named = pseudonyms.anonymize_authors(done, "author_id_raw", "author_raw", ORDER, known)
     names = scratch.save("names", pseudonyms.all_names(messages, "author_raw"))
     masked = pseudonyms.mask_words(named, "text_scrubbed", names, any_case=True)
@@ -38,6 +45,42 @@ def clean(messages: DataFrame, communities: Sequence[str] = ()) -> DataFrame:
     )
 
 
+#: Name, text, and what the text must hold once it is cleaned.
+RED_TEAM = (
+    ("given name in the dative", "Отдай ключи от стенда Кириллу до обеда.", "[PERSON_REDACTED]"),
+    ("given name in the instrumental", "Созвонился с Тимофеем, он против миграции.", "[PERSON_REDACTED]"),
+    ("given name in the genitive", "Забери у Марины доступы.", "[PERSON_REDACTED]"),
+    ("two names", "Сообщи Наталье и Григорию про релиз.", "[PERSON_REDACTED] и [PERSON_REDACTED]"),
+    ("surname in the instrumental", "Тикет закрыт Зотовым.", "[PERSON_REDACTED]"),
+    ("phone with spaces", "Набери +7 ( 9 2 6 ) 0 0 0 - 1 1 - 2 2 после шести", "[PHONE_REDACTED]"),
+    ("phone with hyphens", "Запасной 8-926-000-11-22", "[PHONE_REDACTED]"),
+    ("database address", "DSN=postgres://root:qwerty@10.20.30.40:5432/main", "[DATABASE_URL_REDACTED]"),
+    ("key in code", "key = 'sk-proj-0123456789abcdef0123456789abcdef'", "[API_KEY_REDACTED]"),
+    ("token in a comment", "# ghp_abcdefghijklmnopqrstuvwxyz0123456789", "[API_KEY_REDACTED]"),
+    ("bot token", "TOKEN=987654321:ZYXwvuTSRqponMLKjihGFEdcba7654321zy", "[BOT_TOKEN_REDACTED]"),
+    ("wallet", "перевод на 0x00112233445566778899aabbccddeeff00112233", "[CRYPTO_WALLET_ETH]"),
+    ("forward header", "Forwarded from Наталья Реброва: читали уже?", "Forwarded from Developer_"),
+    ("mention", "спроси у @senior_helper в личке", "@user_1"),
+)
+_RED_AUTHORS = ("Кирилл Зотов", "Тимофей Лапин", "Марина Реброва", "Наталья Зотова", "Григорий Лапин")
+
+
+def red_team(spark: SparkSession) -> DataFrame:
+    """``test_name``, ``expected`` and ``passed`` of texts made to slip through redaction, cleaned like any message."""
+    kind = "chat_id long, msg_id long, chat_name string, timestamp timestamp, unixtime long, author_raw string, author_id_raw string, text_raw string, reply_to_id long, is_service boolean"
+    row = lambda k, author, text: (1, k, "red team", None, k, author, f"id{author}", text, None, False)
+    rows = [row(k, "tester", text) for k, (_, text, _) in enumerate(RED_TEAM)] + [row(100 + k, a, "привет всем") for k, a in enumerate(_RED_AUTHORS)]
+    wanted = spark.createDataFrame([(k, n, e) for k, (n, _, e) in enumerate(RED_TEAM)], "msg_id long, test_name string, expected string")
+    cleaned = clean(spark.createDataFrame(rows, kind)).select("msg_id", "text_clean")
+    return wanted.join(cleaned, "msg_id", "left").select("test_name", "expected", F.coalesce(F.contains(F.col("text_clean"), F.col("expected")), F.lit(False)).alias("passed"))
+
+
+def red_team_verdict(tests: DataFrame, leaks: int) -> str:
+    """PASSED if at most one test fails and nothing leaked in production, else LEAKS_DETECTED."""
+    failed = tests.agg(F.count_if(~F.col("passed")).alias("n")).first().n
+    return "PASSED" if failed <= 1 and leaks == 0 else "LEAKS_DETECTED"
+
+
 def without_duplicates(rows: DataFrame, path: str | None = None) -> DataFrame:
     """Exact copies and near duplicates go; the first in the order of all messages stays. ``path``: where the rows lie, if they do."""
     from chatmill.plans.ranks import with_position
@@ -75,8 +118,11 @@ def run(spark: SparkSession, sources: Sequence[str], out: str, communities: Sequ
         stage = "export"
         for name, rows in (("full_clean_messages", full), ("sft_dialogues", dialogues), ("rag_knowledge_base", chunks)):
             contract.write_artifact(rows, name, f"{out}/{name}.parquet")
-        for name, lines in (("sft_sharegpt_format", contract.sharegpt(dialogues)), ("sft_alpaca_format", contract.alpaca(dialogues)), ("sft_openai_messages", contract.chatml(dialogues, "")), ("rag_chunks_kb", contract.plain_lines(chunks)), ("dpo_preference_pairs", contract.plain_lines(pairs))):
+        for name, lines in (("sft_sharegpt_format", contract.sharegpt(dialogues)), ("sft_alpaca_format", contract.alpaca(dialogues)), ("sft_openai_messages", contract.chatml(dialogues)), ("rag_chunks_kb", contract.plain_lines(chunks)), ("dpo_preference_pairs", contract.plain_lines(pairs))):
             contract.write_lines(lines, f"{out}/{name}.jsonl")
+        contract.write_contract_manifest(f"{out}/schema_contract.json")
+        for name, rows in (("sft", dialogues), ("rag", chunks), ("dpo", pairs)):
+            save_report(preview(rows, "thread_id"), f"{out}/samples/{name}_sample_preview.json")
         return {n: f.count() for n, f in (("raw", raw), ("cleaned", cleaned), ("unique", unique), ("dialogues", dialogues), ("chunks", chunks), ("pairs", pairs))}
     except exports.ExportError:
         raise
@@ -84,11 +130,19 @@ def run(spark: SparkSession, sources: Sequence[str], out: str, communities: Sequ
         raise StageError(f"{stage} failed: {cause}") from cause
 
 
+def preview(rows: DataFrame, order: str, most: int = 15) -> list[dict]:
+    """The first rows in an order, for looking at: a preview is a limit by nature."""
+    return [r.asDict(recursive=True) for r in exports.head(rows, [order], most).collect()]
+
+
 def analyse(rows: DataFrame) -> dict[str, list[dict]]:
     """The sections of the analytics report, each a small list of rows."""
+    edge = Scratch(rows.sparkSession, "analysis").save("edges", network.edges(network.interactions(rows)))
     sections = {
         "volume": analytics.volume(rows),
         **{f"by_{u}": analytics.activity(rows, u).orderBy("bucket") for u in ("hour", "weekday", "month", "year")},
+        "distributions": analytics.volume_distributions(rows),
+        "busiest": analytics.busiest(rows, "hour"),
         "intervals": analytics.intervals(rows),
         **{f"{n}grams": analytics.ngrams(rows, "text_clean", n, most) for n, most in ((1, 50), (2, 30), (3, 20), (4, 15))},
         "lexical": analytics.lexical_diversity(rows, "text_clean"),
@@ -99,9 +153,12 @@ def analyse(rows: DataFrame) -> dict[str, list[dict]]:
         "questions": analytics.questions_and_code(rows, "text_clean"),
         "authors": analytics.key_phrases(rows, "author_anon", "text_clean"),
         "years": analytics.yearly_terms(rows, "text_clean"),
+        "technology": analytics.yearly_technology(rows, "text_clean"),
         "noise": analytics.noise(rows),
         "quality": analytics.quality_index(rows),
-        "network": network.graph_measures(network.edges(network.interactions(rows))),
+        "network": network.graph_measures(edge),
+        "influencers": network.top_degrees(edge),
+        "pairs": network.strong_pairs(edge),
     }
     return {name: [r.asDict(recursive=True) for r in frame.collect()] for name, frame in sections.items()}
 
@@ -116,24 +173,20 @@ def compare(reference: DataFrame, current: DataFrame) -> dict:
 def audit_report(rows: DataFrame, size: int = 100_000) -> dict:
     found = [r.asDict() for r in audit.run_audit(rows, "text_clean", "chat_name", F.concat_ws("/", "chat_id", "msg_id"), size).collect()]
     total = next((r for r in found if r["category"] == "total"), None)
-    return {"verdict": total["verdict"] if total else "FAILED", "categories": found}
+    strata = [r.asDict() for r in audit.audit_strata(rows, "text_clean", "chat_name", F.concat_ws("/", "chat_id", "msg_id"), size).collect()]
+    return {"verdict": total["verdict"] if total else "FAILED", "categories": found, "per_stratum": strata}
 
 
 def validate(spark: SparkSession, out: str) -> dict:
     """Contracts of the published tables below ``out`` and the dialogue monitor."""
     found = {}
-    for name, schema in contract.SCHEMAS.items():
-        path = f"{out}/{name}.parquet"
-        try:
-            rows = spark.read.parquet(path)
-            verdict, wrong = quality.check_contract(rows.schema, schema, rows.limit(1).count())
-        except Exception as cause:
-            verdict, wrong = "CORRUPT", [str(cause)[:200]]
+    for name in contract.SCHEMAS:
+        verdict, wrong = contract.verify_artifact(spark, f"{out}/{name}.parquet", name)
         found[name] = {"verdict": verdict, "differences": wrong}
     return {"artifacts": found, "overall_passed": all(v["verdict"] == "VALID" for v in found.values()), "fingerprint": contract.fingerprint()}
 
 
-def save_report(report: dict, path: str) -> None:
+def save_report(report: dict | list, path: str) -> None:
     os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
         json.dump(report, f, ensure_ascii=False, indent=2, default=str)

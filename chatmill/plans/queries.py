@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chatmill.functions import text as T
 from chatmill.operators import analytics, audit, dedup, drift, evaluation, extract, network, pseudonyms, quality, reports, retrieval, scrub, taxonomy, threads
 from chatmill.plans.scratch import Scratch
-from chatmill.sources import contract, exports
+from chatmill.sources import exports
 from chatmill.sources.tables import path, table
 
 QUERIES: dict = {}
@@ -89,15 +89,6 @@ def p_filter_dialogues(spark: SparkSession, sf: str) -> DataFrame:
 # redaction and authors
 
 
-@query(
-    r"""SELECT chat_id, msg_id, batch_id, regexp_replace(text_raw, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z|]{2,7}\b', '[EMAIL_REDACTED]', 'g') AS text_scrubbed,
-CAST(coalesce(len(regexp_extract_all(text_raw, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z|]{2,7}\b')), 0) AS BIGINT) AS n_emails FROM normalized_messages"""
-)
-def r_emails(spark: SparkSession, sf: str) -> DataFrame:
-    rule = scrub.Rule("emails", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,7}\b", "[EMAIL_REDACTED]")
-    return scrub.scrub(table(spark, sf, "normalized_messages"), "text_raw", [rule]).select("chat_id", "msg_id", "batch_id", "text_scrubbed", "n_emails")
-
-
 @query()
 def r_scrub_messages(spark: SparkSession, sf: str) -> DataFrame:
     rows, order = table(spark, sf, "normalized_messages"), ["unixtime", "chat_id", "msg_id"]
@@ -119,12 +110,19 @@ def r_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    r"""WITH f AS (SELECT unnest(regexp_extract_all(text_raw, '(?:^|[^\p{L}\p{N}_@])@([a-zA-Z0-9_]{4,32})', 1)) AS m FROM normalized_messages)
-SELECT DISTINCT lower(m) AS mention FROM f"""
+    r"""WITH t AS (SELECT {'u': unixtime, 'c': chat_id, 'm': msg_id} AS z, string_split_regex(text_raw, '[^\p{L}\p{N}_@]+') AS w FROM normalized_messages WHERE contains(text_raw, '@')),
+f AS (SELECT z, i, lower(regexp_extract(w[i], '^@*@([a-zA-Z0-9_]{4,32})(?:@.*)?$', 1)) AS mention FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM t)),
+g AS (SELECT mention, min({'a': z, 'i': i}) AS seen FROM f WHERE mention <> '' GROUP BY mention)
+SELECT mention, row_number() OVER (ORDER BY seen, mention) AS number FROM g"""
 )
 def r_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "normalized_messages")
-    return rows.select(F.explode(F.regexp_extract_all("text_raw", F.lit(r"(?:^|[^\p{L}\p{N}_@])@([a-zA-Z0-9_]{4,32})"), 1)).alias("m")).select(F.lower("m").alias("mention")).distinct()
+    return scrub.numbered_mentions(table(spark, sf, "normalized_messages"), "text_raw", ["unixtime", "chat_id", "msg_id"])
+
+
+@query()
+def r_numbered_texts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "normalized_messages").select("chat_id", "msg_id", "unixtime", "text_raw")
+    return scrub.number_mentions(rows, "text_raw", ["unixtime", "chat_id", "msg_id"]).drop("unixtime")
 
 
 @query()
@@ -199,11 +197,6 @@ def t_domains(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.classified(_clean(spark, sf), "text_clean").select("chat_id", "msg_id", "domain_found", "domain_score", F.round("domain_confidence", 6).alias("domain_confidence"))
 
 
-@query()
-def t_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return _clean(spark, sf).select("chat_id", "msg_id", F.explode(taxonomy.tags(F.col("text_clean"))).alias("tag"))
-
-
 @query(
     rf"""WITH l AS (SELECT * FROM (VALUES {_values(taxonomy.SENTIMENT.items())}) v(w, s)),
 t AS (SELECT chat_id, msg_id, unnest(regexp_extract_all(lower(coalesce(text_clean, '')), '[\p{{L}}\p{{N}}_]+')) AS w FROM full_clean_messages),
@@ -270,11 +263,6 @@ def e_dialogues(spark: SparkSession, sf: str) -> DataFrame:
     return extract.extract_dialogues(_threaded(spark, sf))
 
 
-@query()
-def e_preferences(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.extract_preferences(_threaded(spark, sf))
-
-
 @query(
     f"""WITH {_THREADED}, d AS (SELECT thread_id, coalesce(domain, 'general_tech_chat') AS domain, count(*) AS n, min(pos) AS p FROM m GROUP BY ALL)
 SELECT thread_id, arg_max(domain, {{'n': n, 'a': -p}}) AS topic_domain FROM d GROUP BY thread_id"""
@@ -417,11 +405,6 @@ def a_noise(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.noise(_clean(spark, sf))
 
 
-@query()
-def a_quality_index(spark: SparkSession, sf: str) -> DataFrame:
-    return analytics.quality_index(_clean(spark, sf))
-
-
 @query()
 def a_topics(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.topics(_clean(spark, sf), "author_anon", "text_clean")
@@ -529,12 +512,6 @@ def v_contingency(spark: SparkSession, sf: str) -> DataFrame:
     return audit.mcnemar(rows, "a", "b").select("both", "only_a", "only_b", "neither")
 
 
-@query()
-def v_mcnemar(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "dpo_preference_pairs").select((F.length("chosen") > 100).alias("a"), (F.length("rejected") > 100).alias("b"))
-    return audit.mcnemar(rows, "a", "b")
-
-
 _REF, _CUR = "unixtime % 2 = 0", "unixtime % 2 = 1"
 
 
@@ -579,12 +556,6 @@ def v_vocabulary_shift(spark: SparkSession, sf: str) -> DataFrame:
     return drift.vocabulary_shift(*_halves(spark, sf), "text_clean").withColumn("jaccard", F.round("jaccard", 6))
 
 
-@query()
-def v_drift_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _halves(spark, sf)
-    return drift.overall(drift.length_shift(a, b, "text_clean"), drift.label_shift(a, b, "domain"), drift.vocabulary_shift(a, b, "text_clean"))
-
-
 _FEATURES = f"""t AS (SELECT thread_id, list_transform(coalesce(messages, []), lambda m: {{'role': lower(coalesce(m.role, '')), 'content': coalesce(m.content, '')}}) AS t FROM sft_dialogues),
 f AS (SELECT thread_id, len(t) AS turns, len(list_filter(t, lambda m: m.role = 'assistant')) AS answers, len(list_filter(t, lambda m: m.role = 'user')) AS users,
   len(list_filter(t, lambda m: m.role = 'assistant' AND {_stripped('m.content')} = '')) AS empty_answers,
@@ -624,11 +595,6 @@ def s_lines(spark: SparkSession, sf: str) -> DataFrame:
     return exports.lines_state(table(spark, sf, "jsonl_records"), "record").select("rec_id", "state")
 
 
-@query()
-def v_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.check_lines(table(spark, sf, "jsonl_records"), "artifact", "record")
-
-
 @query("SELECT rec_id FROM jsonl_records ORDER BY rec_id DESC LIMIT 25")
 def s_tail(spark: SparkSession, sf: str) -> DataFrame:
     return exports.tail_holdout(table(spark, sf, "jsonl_records"), ["rec_id"], 25).select("rec_id")
@@ -650,34 +616,6 @@ def v_ci_stats(spark: SparkSession, sf: str) -> DataFrame:
 # exports and evaluation
 
 
-@query(
-    """SELECT thread_id, i - 1 AS pair_no, messages[i].content AS instruction, messages[i + 1].content AS output, topic_domain AS domain FROM (SELECT *, unnest(range(1, len(messages))) AS i FROM sft_dialogues)
-WHERE messages[i].role = 'user' AND messages[i + 1].role = 'assistant'"""
-)
-def k_instruction_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.instruction_pairs(table(spark, sf, "sft_dialogues")).select("thread_id", "pair_no", "instruction", "output", "domain")
-
-
-@query()
-def k_sharegpt(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.sharegpt(table(spark, sf, "sft_dialogues"))
-
-
-@query()
-def k_alpaca(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.alpaca(table(spark, sf, "sft_dialogues"))
-
-
-@query()
-def k_chatml(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.chatml(table(spark, sf, "sft_dialogues"), "Ты — опытный инженер.")
-
-
-@query()
-def k_preference_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return contract.plain_lines(table(spark, sf, "dpo_preference_pairs").drop("pair_id"))
-
-
 @query()
 def x_response_scores(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.response_score(table(spark, sf, "dpo_preference_pairs").select("pair_id", "chosen"), "chosen", ["кластер", "индекс", "модель"])
@@ -686,9 +624,3 @@ def x_response_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def x_choice_letters(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "dpo_preference_pairs").select("pair_id", evaluation.choice_letter(F.col("chosen")).alias("letter"))
-
-
-@query("SELECT part, count(*) AS n FROM (SELECT CASE WHEN count(*) OVER () > 50 AND row_number() OVER (ORDER BY thread_id) > count(*) OVER () - 50 THEN 'holdout' ELSE 'rest' END AS part FROM sft_dialogues) GROUP BY part")
-def x_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    rows = evaluation.training_split(table(spark, sf, "sft_dialogues"), ["thread_id"], F.col("thread_id"), 50, None, 0.1)
-    return rows.groupBy(F.when(F.col("part") == "holdout", "holdout").otherwise("rest").alias("part")).agg(F.count("*").alias("n"))

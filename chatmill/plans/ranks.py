@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from chatmill.plans.scratch import Scratch
 
 
+#: Bytes read for a range.
+RANGE_BYTES = 256 << 20
+
+
+def range_count(rows: DataFrame) -> int:
+    """Ranges that rows are split by: as many as shuffle partitions, or more where the size of what they are read from calls for it."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(50_000, size // RANGE_BYTES))
+
+
 def with_position(rows: DataFrame, order: list[Column], name: str = "position", first: int = 0) -> DataFrame:
     """``rows`` with their rank in a total order, from ``first``; ``order`` must have no ties.
 
@@ -15,7 +26,7 @@ def with_position(rows: DataFrame, order: list[Column], name: str = "position",
     itself and shifted by the sizes of those before it, of which there are as many as shuffle partitions.
     """
     scratch = Scratch(rows.sparkSession, "order")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_count(rows)
     ranged = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     ranged = scratch.save("ranged", ranged)
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
@@ -35,12 +46,11 @@ def with_previous(rows: DataFrame, order: list[Column], columns: list[str], name
     return placed.join(before, name, "left")
 
 
-def with_running_sum(rows: DataFrame, place: str, value: str, name: str) -> DataFrame:
-    """``rows`` with the sum of ``value`` up to each row in the order of ``place``, by ranges like ``with_position``."""
+def with_running_sum(rows: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` up to each row in an order without ties, by ranges like ``with_position``."""
     scratch = Scratch(rows.sparkSession, "sums")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = scratch.save("ranged", rows.repartitionByRange(parts, place).withColumn("_part", F.spark_partition_id()))
+    ranged = scratch.save("ranged", rows.repartitionByRange(range_count(rows), *order).withColumn("_part", F.spark_partition_id()))
     sizes = ranged.groupBy("_part").agg(F.sum(value).alias("_n"))
     before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inner = F.sum(value).over(Window.partitionBy("_part").orderBy(place).rowsBetween(Window.unboundedPreceding, 0))
+    inner = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return ranged.withColumn("_sum", inner).join(F.broadcast(before), "_part").withColumn(name, F.col("_sum") + F.col("_before")).drop("_part", "_sum", "_before")

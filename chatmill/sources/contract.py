@@ -6,7 +6,7 @@ import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -36,6 +36,67 @@ def fingerprint() -> str:
     return hashlib.sha256(json.dumps(content, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+# The message that opens each conversation of an export for chat models.
+SYSTEM_MESSAGE = (
+    "Ты — опытный русскоязычный IT-консультант, Senior разработчик и архитектор. "
+    "Отвечай на технические вопросы точно, структурированно, опираясь на реальные практики разработки, "
+    "DevOps, архитектуры и IT-бизнеса."
+)
+#: Keys that the lines of each export have.
+LINES = {"sft_sharegpt_format": ("id", "chat", "domain", "tags", "quality_score", "conversations"), "sft_alpaca_format": ("instruction", "input", "output", "domain", "tags", "quality_score"), "sft_openai_messages": ("id", "domain", "tags", "quality", "messages")}
+
+
+def contract_manifest() -> dict:
+    """Version, fingerprint, columns of the tables and keys of the lines."""
+    return {
+        "dataset_schema_version": VERSION,
+        "schema_fingerprint": fingerprint(),
+        "artifacts": {n: {"columns": [{"name": f.name, "type": f.dataType.simpleString()} for f in s.fields]} for n, s in sorted(SCHEMAS.items())},
+        "jsonl": {n: list(k) for n, k in sorted(LINES.items())},
+    }
+
+
+def write_contract_manifest(path: str) -> str:
+    """Writes the manifest as JSON; returns the path."""
+    import os
+
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(contract_manifest(), f, ensure_ascii=False, indent=2)
+    return path
+
+
+def stamped(rows: DataFrame) -> DataFrame:
+    """``rows`` with version and fingerprint in the metadata of the first column, which Parquet files keep."""
+    first = rows.columns[0]
+    mark = {"dataset_schema_version": VERSION, "schema_fingerprint": fingerprint()}
+    return rows.select(F.col(first).alias(first, metadata=mark), *rows.columns[1:])
+
+
+def verify_artifact(spark: SparkSession, path: str, artifact: str, allow_unstamped: bool = False) -> tuple[str, list[str]]:
+    """VALID, EMPTY, INVALID or CORRUPT, and the problems: columns, types, and version and fingerprint in the files.
+
+    ``allow_unstamped`` accepts a table without these two, never one with others.
+    """
+    from chatmill.operators.quality import check_contract
+
+    try:
+        rows = spark.read.parquet(path)
+        some = rows.limit(1).count()
+    except Exception as cause:
+        return "CORRUPT", [str(cause)[:200]]
+    verdict, wrong = check_contract(rows.schema, SCHEMAS[artifact], some)
+    mark = rows.schema[0].metadata if rows.schema else {}
+    found = mark.get("dataset_schema_version"), mark.get("schema_fingerprint")
+    if verdict != "EMPTY" and not (allow_unstamped and found == (None, None)):
+        if found[0] != VERSION:
+            wrong = [*wrong, f"schema version is {found[0]!r}, wanted {VERSION!r}"]
+        if found[1] != fingerprint():
+            wrong = [*wrong, "schema fingerprint is another"]
+        verdict = "INVALID" if wrong else verdict
+    return verdict, wrong
+
+
 def align(rows: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
     """Exactly the columns of ``schema``: unknown ones go, missing ones are null. ``strict`` raises on either."""
     extra = [c for c in rows.columns if c not in schema.names]
@@ -49,7 +110,7 @@ def write_artifact(rows: DataFrame, artifact: str, path: str, rows_a_file: int =
     """Writes a published table; messages without text are left out. The committer makes the files appear together."""
     if artifact == "full_clean_messages":
         rows = rows.where(stripped(F.coalesce("text_clean", F.lit(""))) != "")
-    writer = align(rows, SCHEMAS[artifact]).write.mode("overwrite").option("compression", "zstd")
+    writer = stamped(align(rows, SCHEMAS[artifact])).write.mode("overwrite").option("compression", "zstd")
     if rows_a_file:
         writer = writer.option("maxRecordsPerFile", rows_a_file)
     writer.parquet(path)
@@ -85,7 +146,7 @@ def alpaca(dialogues: DataFrame) -> DataFrame:
     return instruction_pairs(dialogues).select("thread_id", _json("instruction", "input", "output", "domain", "tags", "quality_score"))
 
 
-def chatml(dialogues: DataFrame, system: str) -> DataFrame:
+def chatml(dialogues: DataFrame, system: str = SYSTEM_MESSAGE) -> DataFrame:
     opening = F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content")))
     turns = F.concat(opening, F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))))
     return dialogues.select("thread_id", _json(F.concat(F.lit("chat_"), F.col("thread_id")).alias("id"), F.col("topic_domain").alias("domain"), F.col("topic_tags").alias("tags"), F.col("quality_score").alias("quality"), turns.alias("messages")))

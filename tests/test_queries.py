@@ -2,10 +2,10 @@
 
 import oracle
 import pytest
-from chatmill.plans import core_queries, queries
+from chatmill.plans import core_queries, queries, report_queries
 
-ALL = {**core_queries.QUERIES, **queries.QUERIES}
-SQL = {**core_queries.SQL, **queries.SQL}
+ALL = {**core_queries.QUERIES, **queries.QUERIES, **report_queries.QUERIES}
+SQL = {**core_queries.SQL, **queries.SQL, **report_queries.SQL}
 
 
 @pytest.fixture(scope="module")
