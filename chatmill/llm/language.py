@@ -76,12 +76,15 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 def seeded(words: set[str]) -> int:
     """The language whose function words clearly prevail among the words, or -1."""
+    held = words & _SEED_WORDS
+    if len(held) < SURE:
+        return -1
     votes = [0] * len(LANGUAGES)
-    for w in words & _SEED_WORDS:
+    for w in held:
         for n in _SEEDS[w]:
             votes[n] += 1
-    best = max(range(len(votes)), key=votes.__getitem__)
-    return best if votes[best] >= SURE and sum(v > votes[best] - AHEAD for v in votes) == 1 else -1
+    second, most = sorted(votes)[-2:]
+    return votes.index(most) if most >= SURE and most - second >= AHEAD else -1
 
 
 def has_function_word(words: set[str], language: int) -> bool:

@@ -65,7 +65,7 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     places: dict[str, int] = {}
     for k, w in enumerate(b):
         places[w] = places.get(w, 0) | 1 << k
-    row, full = (1 << len(b)) - 1, (1 << len(b)) - 1
+    row = full = (1 << len(b)) - 1
     for w in a:
         hit = row & places.get(w, 0)
         row = ((row + hit) | (row - hit)) & full
@@ -339,12 +339,12 @@ def defect(prompt: str | None, answer: str | None, model: np.ndarray | None = No
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words, apart for the last ones, and of the trigrams of texts whose function words tell their language."""
     names = ["kind", "word", "bucket", "n"]
-    words: Counter[tuple[bool, str]] = Counter()
+    words: tuple[Counter[str], Counter[str]] = Counter(), Counter()  # elsewhere and at ends
     grams: np.ndarray | None = None
 
     def counted() -> pa.RecordBatch:
-        n = len(words)
-        return pa.RecordBatch.from_arrays([pa.array([int(last) for last, _ in words], pa.int32()), pa.array([w for _, w in words], pa.string()), pa.nulls(n, pa.int32()), pa.array(list(words.values()), pa.int64())], names)
+        n = [len(w) for w in words]
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(2, dtype=np.int32), n)), pa.array([*words[0], *words[1]], pa.string()), pa.nulls(sum(n), pa.int32()), pa.array([*words[0].values(), *words[1].values()], pa.int64())], names)
 
     for batch in batches:
         texts = [t for c in ("prompt", "answer") for t in batch.column(c).to_pylist() if t]
@@ -352,9 +352,9 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in texts:
             found = _WORD.findall(t.casefold())
             if found and t.rstrip()[-1:].isalpha():
-                words[True, found.pop()] += 1
+                words[1][found.pop()] += 1
             own = set(found)
-            words.update((False, w) for w in own)
+            words[0].update(own)
             n = L.seeded(own)
             if n >= 0:
                 language.append(n)
@@ -362,10 +362,11 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if plain:
             one = L.Letters(plain).counts(np.array(language))
             grams = one if grams is None else grams + one
-        if len(words) > HELD_WORDS:
+        if len(words[0]) > HELD_WORDS:
             yield counted()
-            words.clear()
-    if words:
+            for w in words:
+                w.clear()
+    if words[0] or words[1]:
         yield counted()
     if grams is not None:
         at = np.flatnonzero(grams)
