@@ -60,9 +60,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 BASE = 0x2545F4914F6CDD1D
 #: Odd numbers have inverses modulo 2**64.
 INVERSE = pow(BASE, -1, 1 << 64)
+BASE2 = 0xD1342543DE82EF95
+INVERSE2 = pow(BASE2, -1, 1 << 64)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def powers(n: int, base: int = BASE) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.full(n, np.uint64(base))

@@ -6,9 +6,10 @@ alone, so every shared window has an anchor at most WINDOW - 1 characters from i
 documents, and from it the two agree on at least PREFIX characters. The anchored suffixes are therefore split by
 their first PREFIX characters, and a group that stays within one document is dropped. A group's suffixes are then
 split by their whole neighbourhood (WINDOW - 1 characters before, SPAN after): where two documents agree on all of it,
-every window over the anchor is shared. Only the rest, the edges of shared stretches, has its characters compared: each
-group is cut at depth SPAN for each number of characters before the anchor, and an inner node there that has leaves
-of two documents is a shared window.
+every window over the anchor is shared; this agreement is told by two independent hashes of 64 bits each. Only the rest, the
+edges of shared stretches, has its characters compared: each group is cut at depth SPAN for each number of characters before
+the anchor, and an inner node there that has leaves of two documents is a shared window. Groups too large for one task are
+cut by the two hashes of their windows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatmill.llm.codes import INVERSE, chunks, code_points, mix, powers, size_up
+from chatmill.llm.codes import BASE, BASE2, INVERSE, INVERSE2, chunks, code_points, mix, powers, size_up
 from chatmill.plans.scratch import Scratch
 
 SPAN = 280
@@ -64,11 +65,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 class Hashes:
     """Hash of any stretch of a text, from running totals."""
 
-    def __init__(self, raw: np.ndarray):
+    def __init__(self, raw: np.ndarray, base: int = BASE, inverse: int = INVERSE):
         n = size_up(len(raw) + 1)
-        self.inverse = powers(n, INVERSE)
+        self.inverse = powers(n, inverse)
         with np.errstate(over="ignore"):
-            self.total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(raw) * powers(n)[: len(raw)], dtype=np.uint64)))
+            self.total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(raw) * powers(n, base)[: len(raw)], dtype=np.uint64)))
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -76,13 +77,13 @@ class Hashes:
 
 
 def anchors(texts: list[str | None], lay: Layout) -> tuple[np.ndarray, ...]:
-    """Text number, position, characters after it that count, prefix hash and neighbourhood hash of each anchor."""
+    """Text number, position, characters after it that count, prefix hash and two hashes of the neighbourhood of each anchor."""
     sizes = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
     raw = code_points("".join(t or "" for t in texts))
     ends = np.cumsum(sizes)
     none = np.zeros(0, np.int64)
     if len(raw) < lay.span:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     h = Hashes(raw)
     at = np.arange(len(raw) - lay.kgram + 1)
     least = _sliding_least(h.of(at, at + lay.kgram), lay.window)
@@ -92,8 +93,9 @@ def anchors(texts: list[str | None], lay: Layout) -> tuple[np.ndarray, ...]:
     fits = (least + lay.prefix <= end) & (end - begin >= lay.span)
     least, owner, begin, end = least[fits], owner[fits], begin[fits], end[fits]
     low, high = np.maximum(least - lay.before, begin), np.minimum(least + lay.span, end)
-    near = mix(h.of(low, high) ^ ((least - low).astype(np.uint64) << np.uint64(32)))
-    return owner, least - begin, high - least, h.of(least, least + lay.prefix).view(np.int64), near.view(np.int64)
+    before = (least - low).astype(np.uint64) << np.uint64(32)
+    near, other = (mix(x.of(low, high) ^ before).view(np.int64) for x in (h, Hashes(raw, BASE2, INVERSE2)))
+    return owner, least - begin, high - least, h.of(least, least + lay.prefix).view(np.int64), near, other
 
 
 def _find_anchors(documents: DataFrame, lay: Layout, kind: str) -> DataFrame:
@@ -101,11 +103,11 @@ def _find_anchors(documents: DataFrame, lay: Layout, kind: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in chunks(texts):
-                owner, at, tail, prefix, near = anchors(texts[a:b], lay)
+                owner, at, tail, prefix, near, other = anchors(texts[a:b], lay)
                 if len(owner):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner + a)), pa.array(at.astype(np.int32)), pa.array(tail.astype(np.int32)), pa.array(prefix), pa.array(near)], ["id", "at", "tail", "prefix", "near"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner + a)), pa.array(at.astype(np.int32)), pa.array(tail.astype(np.int32)), pa.array(prefix), pa.array(near), pa.array(other)], ["id", "at", "tail", "prefix", "near", "other"])
 
-    return documents.mapInArrow(run, f"id {kind}, at int, tail int, prefix long, near long")
+    return documents.mapInArrow(run, f"id {kind}, at int, tail int, prefix long, near long, other long")
 
 
 def _cut_edges(lay: Layout):
@@ -120,11 +122,12 @@ def _cut_edges(lay: Layout):
         ids, doc = np.unique(rows["id"].to_numpy(), return_inverse=True)
         many = rows["many"].to_numpy(bool)
         key, ok = np.zeros((lay.window, n), np.uint64), np.zeros((lay.window, n), bool)
+        letters = np.zeros((n, width), np.uint32)
         starts = lay.before - np.arange(lay.window)
         with np.errstate(over="ignore"):
             for a in range(0, n, 1000):
                 part = slice(a, min(n, a + 1000))
-                raw = np.zeros((part.stop - a, width), np.uint32)
+                raw = letters[part]
                 high = np.zeros(part.stop - a, np.int64)
                 for k, t in enumerate(near[part]):
                     c = code_points(t)
@@ -146,7 +149,14 @@ def _cut_edges(lay: Layout):
             d = doc[who]
             # a neighbourhood that several documents have stands here for all of them
             shared = (np.minimum.reduceat(d, start) != np.maximum.reduceat(d, start)) | np.maximum.reduceat(many[who], start)
-            hit = who[np.repeat(shared, np.diff(np.concatenate((start, [len(who)]))))]
+            # equal hashes are confirmed on the characters, against the first of each run
+            size = np.diff(np.concatenate((start, [len(who)])))
+            some, rep = np.repeat(shared, size), np.repeat(who[start], size)
+            hit, rep = who[some], rep[some]
+            window = slice(starts[before], starts[before] + lay.span)
+            same = np.concatenate([(letters[hit[k : k + 4096], window] == letters[rep[k : k + 4096], window]).all(1) for k in range(0, len(hit), 4096)] or [np.zeros(0, bool)])
+            if not same.all():
+                hit = _exactly(who, letters[:, window], group, doc, many)
             most[hit] = before
             least[hit] = np.where(least[hit] < 0, before, least[hit])
         keep = most >= 0
@@ -173,6 +183,14 @@ def _cut_edges(lay: Layout):
     return run
 
 
+def _exactly(who: np.ndarray, letters: np.ndarray, group: np.ndarray, doc: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The rows whose window another document has, by the characters themselves; for windows with equal hashes that differ."""
+    held: dict[tuple[int, bytes], list[int]] = {}
+    for k in who.tolist():
+        held.setdefault((int(group[k]), letters[k].tobytes()), []).append(k)
+    return np.array([k for rows in held.values() if len({int(doc[k]) for k in rows}) > 1 or many[rows].any() for k in rows], np.int64)
+
+
 def _read_edges(lay: Layout, id_kind: str):
     """Cuts the neighbourhoods of a document's anchors out of its text."""
 
@@ -205,12 +223,12 @@ def _window_hashes(lay: Layout):
         for batch in batches:
             near, pads = batch.column("near_text").to_pylist(), batch.column("pad").to_pylist()
             before = np.arange(lay.window)
-            rows, befores, keys, held = [], [], [], 0
+            rows, befores, keys, others, held = [], [], [], [], 0
 
             def made() -> pa.RecordBatch:
                 same = pa.array(np.concatenate(rows))  # noqa: B023
                 own = [batch.column(c).take(same) for c in ("id", "at", "prefix", "many")]  # noqa: B023
-                return pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(befores).astype(np.int32)), pa.array(np.concatenate(keys))], ["id", "at", "prefix", "many", "before", "key"])  # noqa: B023
+                return pa.RecordBatch.from_arrays([*own, pa.array(np.concatenate(befores).astype(np.int32)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(others))], ["id", "at", "prefix", "many", "before", "key", "other"])  # noqa: B023
 
             for k, (t, pad) in enumerate(zip(near, pads, strict=True)):
                 start = lay.before - before - pad
@@ -218,11 +236,13 @@ def _window_hashes(lay: Layout):
                 if ok.any():
                     rows.append(np.full(int(ok.sum()), k))
                     befores.append(before[ok])
-                    keys.append(Hashes(code_points(t)).of(start[ok], start[ok] + lay.span).view(np.int64))
+                    raw = code_points(t)
+                    keys.append(Hashes(raw).of(start[ok], start[ok] + lay.span).view(np.int64))
+                    others.append(Hashes(raw, BASE2, INVERSE2).of(start[ok], start[ok] + lay.span).view(np.int64))
                     held += len(keys[-1])
                 if held > 50_000:
                     yield made()
-                    rows, befores, keys, held = [], [], [], 0
+                    rows, befores, keys, others, held = [], [], [], [], 0
             if held:
                 yield made()
 
@@ -246,14 +266,14 @@ def shared_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     kind = documents.schema[doc_id].dataType.simpleString()
     docs = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(f"id is not null and length(text) >= {span}")
     found = scratch.save("anchors", _find_anchors(docs, lay, kind))
-    near = found.groupBy("prefix", "near").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min(F.struct("id", "at")).alias("one"))
+    near = found.groupBy("prefix", "near", "other").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min(F.struct("id", "at")).alias("one"))
     group = near.groupBy("prefix").agg(F.min("low").alias("glow"), F.max("high").alias("ghigh"), F.count("*").alias("kinds"), F.count(F.when(F.col("low") == F.col("high"), 1)).alias("alone"))
     group = scratch.save("groups", group.where("glow < ghigh"))
     many = F.col("low") < F.col("high")
     edge = (F.col("kinds") > 1) & (F.col("alone") > 0)
-    classes = scratch.save("classes", near.join(group, "prefix").select("prefix", "near", many.alias("many"), edge.alias("edge"), "one", "kinds").where("many or edge"))
+    classes = scratch.save("classes", near.join(group, "prefix").select("prefix", "near", "other", many.alias("many"), edge.alias("edge"), "one", "kinds").where("many or edge"))
     # all anchors of a neighbourhood are wanted where several documents have it, and one of them stands for it at edges
-    rows = found.join(classes, ["prefix", "near"]).select("id", "at", "tail", "prefix", "many", "kinds", (F.col("edge") & (~F.col("many") | ((F.col("id") == F.col("one.id")) & (F.col("at") == F.col("one.at"))))).alias("edge"))
+    rows = found.join(classes, ["prefix", "near", "other"]).select("id", "at", "tail", "prefix", "many", "kinds", (F.col("edge") & (~F.col("many") | ((F.col("id") == F.col("one.id")) & (F.col("at") == F.col("one.at"))))).alias("edge"))
     rows = scratch.save("rows", rows)
     scratch.drop("anchors", "groups", "classes")
     inner = rows.where("many").select("id", F.greatest(F.col("at") - lay.before, F.lit(0)).alias("begin"), (F.col("at") + F.col("tail")).alias("end"))
@@ -266,9 +286,9 @@ def shared_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     runs = inner.unionByName(edges)
     if not rows.where((F.col("kinds") > GROUP_ROWS) & F.col("edge")).isEmpty():
         hot = joined.select("id", "text", F.filter("wanted", lambda x: x["hot"]).alias("wanted")).where("size(wanted) > 0")
-        keys = scratch.save("keys", hot.mapInArrow(cut, schema).mapInArrow(_window_hashes(lay), f"id {kind}, at int, prefix long, many boolean, before int, key long"))
-        good = keys.groupBy("prefix", "before", "key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("many").alias("m")).where("a < b or m").select("prefix", "before", "key")
-        hits = keys.join(good, ["prefix", "before", "key"]).groupBy("id", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
+        keys = scratch.save("keys", hot.mapInArrow(cut, schema).mapInArrow(_window_hashes(lay), f"id {kind}, at int, prefix long, many boolean, before int, key long, other long"))
+        good = keys.groupBy("prefix", "before", "key", "other").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max("many").alias("m")).where("a < b or m").select("prefix", "before", "key", "other")
+        hits = keys.join(good, ["prefix", "before", "key", "other"]).groupBy("id", "at").agg(F.max("before").alias("most"), F.min("before").alias("least"))
         runs = runs.unionByName(hits.select("id", (F.col("at") - F.col("most")).alias("begin"), (F.col("at") - F.col("least") + span).alias("end")))
     # runs that touch are one
     along = Window.partitionBy("id").orderBy("begin", "end")
