@@ -21,7 +21,7 @@ from chatmill.llm.codes import Words, chunks, mix
 from chatmill.plans.scratch import Scratch
 
 TABLE_BITS = 15
-DIMENSIONS = 16
+DIMENSIONS = 24
 #: Labelled messages the model is fitted on at most: those with the least hash of their key. Scoring covers all messages.
 MOST_LABELLED = 12_000
 ROUNDS = 60
@@ -229,10 +229,10 @@ def quiet_statements(sample: DataFrame, least: int = 5, share: float = 0.6) -> D
     return often.join(most, "key").where(F.col("most") < share * F.col("n")).select(F.explode("texts").alias("text"))
 
 
-def idle_messages(messages: DataFrame, sample: DataFrame, text: str) -> DataFrame:
-    """``text`` of messages so frequent that some would be in the sample if they had a subject, while none is.
+def idle_messages(messages: DataFrame, sample: DataFrame, text: str, labels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``text`` of messages so frequent that some would be in the sample if they had a subject, while no label is of one.
 
-    Counts cover all messages. At most a third as many texts come out as the sample has rows.
+    Counts cover all messages, and all labels are looked at. At most a third as many texts come out as the sample has rows.
     """
     size, total = sample.count(), messages.count()
     least = 3 * total / max(1, size)
@@ -240,9 +240,10 @@ def idle_messages(messages: DataFrame, sample: DataFrame, text: str) -> DataFram
     often = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("longest")).where(F.col("n") >= least).select("key", "longest")
     idle = Scratch(messages.sparkSession, "idle").save("idle", often.join(sample.select(_key(F.col("text")).alias("key")), "key", "left_anti"))
     longest = idle.agg(F.max("longest")).first()[0] or 0
-    # longer texts have none of these keys
-    near = messages.where(F.length(text) <= longest).select(F.col(text).alias("text"), _key(F.col(text)).alias("key"))
-    return near.join(F.broadcast(idle.select("key")), "key").groupBy("key").agg(_examples()).select(F.explode("texts").alias("text"))
+    # longer texts have none of these keys, of which there are at most a third as many as rows in the sample
+    near = messages.where(F.length(text) <= longest).select(*keys, F.col(text).alias("text"), _key(F.col(text)).alias("key")).join(F.broadcast(idle.select("key")), "key")
+    labelled = near.select("key", *keys).join(labels.select(*keys).distinct(), list(keys), "left_semi").select("key").distinct()
+    return near.groupBy("key").agg(_examples()).join(labelled, "key", "left_anti").select(F.explode("texts").alias("text"))
 
 
 def assign_subjects(messages: DataFrame, labels: DataFrame, areas: DataFrame, keys: Sequence[str] = ("chat_id", "msg_id"), text: str = "text_clean", threshold: float = THRESHOLD, most_labelled: int = MOST_LABELLED) -> DataFrame:
@@ -256,11 +257,12 @@ def assign_subjects(messages: DataFrame, labels: DataFrame, areas: DataFrame, ke
     """
     subjects = sorted(r[0] for r in areas.select("subject").where("subject is not null").distinct().collect())
     spark = messages.sparkSession
-    chosen = labels.where(F.col("subject").isin(subjects)).groupBy(*keys).agg(F.collect_set("subject").alias("subjects")).withColumn("_rank", F.xxhash64(*keys)).orderBy("_rank", *keys).limit(most_labelled)
+    labels = labels.where(F.col("subject").isin(subjects))
+    chosen = labels.groupBy(*keys).agg(F.collect_set("subject").alias("subjects")).withColumn("_rank", F.xxhash64(*keys)).orderBy("_rank", *keys).limit(most_labelled)
     scratch = Scratch(spark, "sample")
     # most_labelled rows at most
     sample = scratch.save("sample", messages.join(F.broadcast(chosen.drop("_rank")), list(keys)).select(F.col(text).alias("text"), "subjects").where("text is not null"))
-    nothing = quiet_statements(sample).unionByName(idle_messages(messages, sample, text)).select("text", F.array().cast("array<string>").alias("subjects"))
+    nothing = quiet_statements(sample).unionByName(idle_messages(messages, sample, text, labels, keys)).select("text", F.array().cast("array<string>").alias("subjects"))
     features, bias = fit(sample.unionByName(nothing), subjects)
     sent = spark.sparkContext.broadcast((features, bias, subjects))
     width = len(keys)
