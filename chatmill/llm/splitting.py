@@ -42,7 +42,7 @@ def _safe(text: str, cut: int, low: int, escapes: bool) -> int:
     if escapes:
         start = text.rfind("\\", max(low, at - 12), at)
         if start >= 0:
-            while start > low and text[start - 1] == "\\" and at - start < 12:
+            while start > low and text[start - 1] == "\\":
                 start -= 1
             # escapes that precede: walk over them from a place that can't lie inside one
             k = start

@@ -449,6 +449,14 @@ def test_pieces_prefer_boundaries_and_keep_escapes(spark):
     assert {(r.k, r.n_pieces) for r in got.collect()} == {(2, 1), (3, 4), (None, 1)}
 
 
+def test_long_runs_of_backslashes_are_not_torn():
+    for n in (40, 41):
+        line = "a" * (90 - n) + "\\" * (2 * n) + "n" + "b" * 300
+        for _, b in check_pieces(line, 100, 10, boundaries=splitting.JSON_BOUNDARIES, escapes=True)[:-1]:
+            head = line[:b]
+            assert (len(head) - len(head.rstrip("\\"))) % 2 == 0 or b == len(line)
+
+
 # 7. conversations
 
 
