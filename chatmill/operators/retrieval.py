@@ -61,6 +61,8 @@ def search(chunks: DataFrame, query: str, key: str, text: str, top: int = 5, mod
     asked = spark.createDataFrame([(query,)], "t string").select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count("*").alias("tf"))
     said = found.select("k", F.explode(_terms(F.col("t"))).alias("term")).groupBy("k", "term").agg(F.count("*").alias("tf"))
     both = said.unionByName(asked.select(F.lit(None).cast(dict(said.dtypes)["k"]).alias("k"), "term", "tf"))
+    # terms are used four times
+    both = Scratch(spark, "terms").save("terms", both)
     n = many + 1
     stats = both.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).orderBy(F.desc("total"), "term").limit(MOST_FEATURES)
     weighted = both.join(F.broadcast(stats), "term").withColumn("w", (F.lit(1.0) + F.log("tf")) * (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1))

@@ -23,6 +23,10 @@ def reply_links(rows: DataFrame, hours: int = REPLY_HOURS) -> DataFrame:
     return linked.where((F.col("unixtime") >= F.col("_before")) & (F.col("unixtime") - F.col("_before") <= hours * 3600)).select("chat_id", "msg_id", "parent_id")
 
 
+#: Messages of a thread that are numbered in one task; longer threads are numbered by ranges.
+THREAD_ROWS = 100_000
+
+
 def build_threads(rows: DataFrame, hours: int = REPLY_HOURS, burst: int = BURST_SECONDS) -> DataFrame:
     """``thread_id``, ``kind`` (tree, burst, single), chat_id, msg_id, ``pos`` within the thread for each message.
 
@@ -50,6 +54,13 @@ def build_threads(rows: DataFrame, hours: int = REPLY_HOURS, burst: int = BURST_
     rank = F.when(F.col("in_tree"), 0).when(F.col("n") > 1, 1).otherwise(2)
     numbered = with_position(groups.withColumn("_kind", rank), [F.col("_kind"), F.when(F.col("_kind") < 2, F.col("chat_id")), F.col("first.unixtime"), F.col("first.msg_id"), F.col("chat_id")], "thread_id", first=1)
     kind = F.element_at(F.array(F.lit("tree"), F.lit("burst"), F.lit("single")), F.col("_kind") + 1)
-    placed = runs.join(numbered.select("chat_id", "in_tree", "group", "thread_id", kind.alias("kind")), ["chat_id", "in_tree", "group"])
+    placed = scratch.save("members", runs.join(numbered.select("chat_id", "in_tree", "group", "n", "thread_id", kind.alias("kind")), ["chat_id", "in_tree", "group"]))
     pos = F.row_number().over(Window.partitionBy("thread_id").orderBy("unixtime", "depth", "msg_id"))
-    return placed.select("thread_id", "kind", "chat_id", "msg_id", pos.cast("long").alias("pos"))
+    columns = ["thread_id", "kind", "chat_id", "msg_id", F.col("pos").cast("long").alias("pos")]
+    out = placed.where(F.col("n") <= THREAD_ROWS).withColumn("pos", pos).select(*columns)
+    long = placed.where(F.col("n") > THREAD_ROWS)
+    if not long.isEmpty():
+        ranked = scratch.save("long", with_position(long, [F.col("thread_id"), F.col("unixtime"), F.col("depth"), F.col("msg_id")], "_at"))
+        since = ranked.groupBy("thread_id").agg(F.min("_at").alias("_since"))
+        out = out.unionByName(ranked.join(since, "thread_id").withColumn("pos", F.col("_at") - F.col("_since") + 1).select(*columns))
+    return out

@@ -123,6 +123,9 @@ def run(spark: SparkSession, sources: Sequence[str], out: str, communities: Sequ
         contract.write_contract_manifest(f"{out}/schema_contract.json")
         for name, rows in (("sft", dialogues), ("rag", chunks), ("dpo", pairs)):
             save_report(preview(rows, "thread_id"), f"{out}/samples/{name}_sample_preview.json")
+        missing = exports.missing_sources(spark, sources)
+        if missing:
+            save_report(missing, f"{out}/missing_sources.json")
         return {n: f.count() for n, f in (("raw", raw), ("cleaned", cleaned), ("unique", unique), ("dialogues", dialogues), ("chunks", chunks), ("pairs", pairs))}
     except exports.ExportError:
         raise

@@ -221,43 +221,23 @@ def g_reply_links(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""WITH RECURSIVE {_LINKS},
 r AS (SELECT DISTINCT l.chat_id, l.parent_id AS msg_id FROM l WHERE NOT EXISTS (SELECT 1 FROM l k WHERE k.chat_id = l.chat_id AND k.msg_id = l.parent_id)),
-t AS (SELECT chat_id, msg_id, msg_id AS root FROM r UNION ALL SELECT l.chat_id, l.msg_id, t.root FROM t JOIN l ON l.chat_id = t.chat_id AND l.parent_id = t.msg_id),
+t AS (SELECT chat_id, msg_id, msg_id AS root, 0 AS depth FROM r UNION ALL SELECT l.chat_id, l.msg_id, t.root, t.depth + 1 FROM t JOIN l ON l.chat_id = t.chat_id AND l.parent_id = t.msg_id),
 m AS (SELECT f.chat_id, f.msg_id, f.unixtime, t.root FROM full_clean_messages f LEFT JOIN t USING (chat_id, msg_id)),
 b AS (SELECT *, CASE WHEN root IS NOT NULL THEN 0 WHEN lag(msg_id) OVER w IS NULL OR lag(root) OVER w IS NOT NULL OR unixtime - lag(unixtime) OVER w > 300 THEN 1 ELSE 0 END AS brk FROM m WINDOW w AS (PARTITION BY chat_id ORDER BY unixtime, msg_id)),
 i AS (SELECT *, sum(brk) OVER (PARTITION BY chat_id ORDER BY unixtime, msg_id) AS run FROM b),
 g AS (SELECT chat_id, root, CASE WHEN root IS NULL THEN run END AS run, count(*) AS n, min(CASE WHEN root IS NULL OR root = msg_id THEN {{'u': unixtime, 'm': msg_id}} END) AS first FROM i GROUP BY ALL),
 k AS (SELECT *, CASE WHEN root IS NOT NULL THEN 0 WHEN n > 1 THEN 1 ELSE 2 END AS kind FROM g),
 z AS (SELECT *, row_number() OVER (ORDER BY kind, CASE WHEN kind < 2 THEN chat_id END NULLS FIRST, first.u, first.m, chat_id) AS thread_id FROM k)
-SELECT z.thread_id, ['tree', 'burst', 'single'][z.kind + 1] AS kind, i.chat_id, i.msg_id FROM i JOIN z ON i.chat_id = z.chat_id AND i.root IS NOT DISTINCT FROM z.root AND (i.root IS NOT NULL OR i.run = z.run)"""
+SELECT z.thread_id, ['tree', 'burst', 'single'][z.kind + 1] AS kind, i.chat_id, i.msg_id, row_number() OVER (PARTITION BY z.thread_id ORDER BY i.unixtime, coalesce(t.depth, 0), i.msg_id) AS pos
+FROM i LEFT JOIN t USING (chat_id, msg_id) JOIN z ON i.chat_id = z.chat_id AND i.root IS NOT DISTINCT FROM z.root AND (i.root IS NOT NULL OR i.run = z.run)"""
 )
 def g_threads(spark: SparkSession, sf: str) -> DataFrame:
-    return threads.build_threads(_clean(spark, sf)).select("thread_id", "kind", "chat_id", "msg_id")
+    return threads.build_threads(_clean(spark, sf))
 
 
 # extraction
 
 
-_ALL_KEYWORDS = "[" + ", ".join("'" + k.replace("'", "''") + "'" for k in sorted({k for ks in taxonomy.TAXONOMY.values() for k in ks})) + "]"
-_B, _E = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])"
-_MACHINE = " OR ".join(
-    f"coalesce(regexp_matches(text_clean, '{p}'), false)"
-    for p in (
-        rf"(?i){_B}языковая{_S}+модель{_E}", rf"(?i){_B}искусственный{_S}+интеллект{_E}", rf"(?i){_B}я{_S}*[-—–]?{_S}*(?:виртуальный{_S}+ассистент|бот|ии){_E}",
-        rf"(?i){_B}(?:as{_S}+an?{_S}+ai|as{_S}+a{_S}+language{_S}+model|i{_S}+am{_S}+an?{_S}+ai|i''m{_S}+a{_S}+language{_S}+model){_E}",
-    )
-)
-
-
-@query(
-    f"""SELECT chat_id, msg_id, round(CASE WHEN len({_words('text_clean')}) < 2 THEN 0 WHEN {_MACHINE} THEN 0.1
-WHEN regexp_replace(lower(text_clean), '^[!.?,]+|[!.?,]+$', '', 'g') = 'не знаю' THEN 0.2
-ELSE 1 + least(3.0, len({_words('text_clean')}) / 15.0) + least(3.0, 0.6 * list_sum(list_transform({_ALL_KEYWORDS}, lambda k: CAST(contains(lower(text_clean), k) AS INT))))
-  + CASE WHEN len(regexp_extract_all(text_clean, '[.!?]')) >= 2 THEN 0.5 ELSE 0 END END, 6) AS quality FROM full_clean_messages"""
-)
-def e_message_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return _clean(spark, sf).select("chat_id", "msg_id", F.round(extract.message_quality(F.col("text_clean")), 6).alias("quality"))
-
-
 @query()
 def e_dialogues(spark: SparkSession, sf: str) -> DataFrame:
     return extract.extract_dialogues(_threaded(spark, sf))
@@ -271,17 +251,6 @@ def e_primary_domain(spark: SparkSession, sf: str) -> DataFrame:
     return extract.primary_domain(_threaded(spark, sf))
 
 
-@query(
-    rf"""WITH {_THREADED}, c AS (SELECT thread_id, arg_min(chat_name, pos) AS chat_name, replace(coalesce(arg_min(coalesce(text_clean, ''), pos), ''), chr(10), ' ') AS first,
-  left(arg_min(timestamp, pos), 10) AS a, left(arg_max(timestamp, pos), 10) AS b, count(DISTINCT author_anon) AS participants_count, count(*) AS message_count,
-  coalesce(string_agg('[' || coalesce(author_anon, '') || ']: ' || text_clean, chr(10) ORDER BY pos) FILTER (WHERE length({_stripped("coalesce(text_clean, '')")}) > 1), '') AS content FROM m GROUP BY thread_id)
-SELECT printf('rag_kb_%06d', thread_id) AS chunk_id, thread_id, chat_name, CASE WHEN length(first) > 90 THEN left(first, 90) || '...' WHEN first = '' THEN 'Technical discussion in ' || chat_name ELSE first END AS title,
-CASE WHEN a = b THEN a ELSE a || ' — ' || b END AS date_range, participants_count, message_count, {_tokens('content')} AS token_count, md5(content) AS content_md5 FROM c WHERE {_tokens('content')} >= 15"""
-)
-def e_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.extract_chunks(_threaded(spark, sf)).select("chunk_id", "thread_id", "chat_name", "title", "date_range", "participants_count", "message_count", "token_count", F.md5("content").alias("content_md5"))
-
-
 # corpus statistics
 
 

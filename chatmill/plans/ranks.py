@@ -38,12 +38,20 @@ def with_position(rows: DataFrame, order: list[Column], name: str = "position",
 def with_previous(rows: DataFrame, order: list[Column], columns: list[str], name: str = "place") -> DataFrame:
     """``rows`` with their place in a total order and the ``columns`` of the row before as prev_...; nulls for the first.
 
-    In place of a lag over a key that may hold most rows: rows are matched by their places.
+    In place of a lag over a key that may hold most rows: ranges of the order are looked at by themselves, and the first row of
+    each is given the last of the range before.
     """
     scratch = Scratch(rows.sparkSession, "previous")
-    placed = scratch.save("placed", with_position(rows, order, name))
-    before = placed.select((F.col(name) + 1).alias(name), *[F.col(c).alias(f"prev_{c}") for c in columns])
-    return placed.join(before, name, "left")
+    ranged = scratch.save("ranged", rows.repartitionByRange(range_count(rows), *order).withColumn("_part", F.spark_partition_id()))
+    # a row for each range
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", "_n", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    along = Window.partitionBy("_part").orderBy(*order)
+    numbered = ranged.withColumn("_row", F.row_number().over(along)).withColumns({f"prev_{c}": F.lag(c).over(along) for c in columns}).join(F.broadcast(before), "_part")
+    last = numbered.where(F.col("_row") == F.col("_n")).select("_part", F.struct(*columns).alias("_own"))
+    border = scratch.save("border", last.select("_part", F.lag("_own").over(Window.orderBy("_part")).alias("_last")))
+    placed = numbered.join(F.broadcast(border), "_part").withColumn(name, (F.col("_row") + F.col("_before") - 1).cast("long"))
+    return placed.withColumns({f"prev_{c}": F.when(F.col("_row") == 1, F.col(f"_last.{c}")).otherwise(F.col(f"prev_{c}")) for c in columns}).drop("_part", "_n", "_row", "_before", "_last")
 
 
 def with_running_sum(rows: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:

@@ -152,6 +152,26 @@ def e_preferences(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 6) for c in ("chosen_quality", "rejected_quality")})
 
 
+@query(f"SELECT chat_id, msg_id, round({_quality('text_clean')}, 6) AS quality FROM full_clean_messages")
+def e_message_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return _clean(spark, sf).select("chat_id", "msg_id", F.round(extract.message_quality(F.col("text_clean")), 6).alias("quality"))
+
+
+@query(
+    rf"""WITH {_THREADED}, d AS (SELECT thread_id, coalesce(domain, 'general_tech_chat') AS domain, count(*) AS n, min(pos) AS p FROM m GROUP BY ALL), o AS (SELECT thread_id, arg_max(domain, {{'n': n, 'a': -p}}) AS topic_domain FROM d GROUP BY thread_id),
+g AS (SELECT thread_id, array_to_string(list_slice(list_sort(list(DISTINCT t)), 1, 6), '|') AS tags FROM (SELECT thread_id, unnest(tags) AS t FROM m) WHERE t IS NOT NULL GROUP BY thread_id),
+c AS (SELECT thread_id, arg_min(chat_name, pos) AS chat_name, replace(coalesce(arg_min(coalesce(text_clean, ''), pos), ''), chr(10), ' ') AS first,
+  left(arg_min(timestamp, pos), 10) AS a, left(arg_max(timestamp, pos), 10) AS b, count(DISTINCT author_anon) AS participants_count, count(*) AS message_count,
+  coalesce(string_agg('[' || coalesce(author_anon, '') || ']: ' || text_clean, chr(10) ORDER BY pos) FILTER (WHERE length({_stripped("coalesce(text_clean, '')")}) > 1), '') AS content FROM m GROUP BY thread_id)
+SELECT printf('rag_kb_%06d', thread_id) AS chunk_id, thread_id, chat_name, CASE WHEN length(first) > 90 THEN left(first, 90) || '...' WHEN first = '' THEN 'Technical discussion in ' || chat_name ELSE first END AS title,
+topic_domain, coalesce(tags, '') AS topic_tags, CASE WHEN a = b THEN a ELSE a || ' — ' || b END AS date_range, participants_count, message_count, {_tokens('content')} AS token_count, md5(content) AS content_md5
+FROM c JOIN o USING (thread_id) LEFT JOIN g USING (thread_id) WHERE {_tokens('content')} >= 15"""
+)
+def e_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    found = extract.extract_chunks(_threaded(spark, sf)).withColumn("content_md5", F.md5("content")).withColumn("topic_tags", F.array_join("topic_tags", "|"))
+    return found.drop("content")
+
+
 # audits and checks
 
 

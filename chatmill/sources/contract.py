@@ -6,7 +6,7 @@ import hashlib
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -106,14 +106,20 @@ def align(rows: DataFrame, schema: StructType, strict: bool = False) -> DataFram
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_artifact(rows: DataFrame, artifact: str, path: str, rows_a_file: int = 0) -> None:
-    """Writes a published table; messages without text are left out. The committer makes the files appear together."""
+def write_artifact(rows: DataFrame, artifact: str, path: str, rows_a_file: int = 0) -> int:
+    """Writes a published table and returns its rows; messages without text are left out.
+
+    The committer makes the files appear together; rows are counted as they are written.
+    """
+    seen = Observation()
     if artifact == "full_clean_messages":
         rows = rows.where(stripped(F.coalesce("text_clean", F.lit(""))) != "")
-    writer = stamped(align(rows, SCHEMAS[artifact])).write.mode("overwrite").option("compression", "zstd")
+    counted = stamped(align(rows, SCHEMAS[artifact])).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.write.mode("overwrite").option("compression", "zstd")
     if rows_a_file:
         writer = writer.option("maxRecordsPerFile", rows_a_file)
     writer.parquet(path)
+    return seen.get["rows"]
 
 
 def write_records(rows: DataFrame, path: str) -> None:
@@ -177,6 +183,14 @@ def manifest(paths: Sequence[tuple[str, str]]) -> list[dict]:
     return out
 
 
+def manifest_of_table(spark: SparkSession, path: str) -> DataFrame:
+    """``artifact`` (file name), ``sha256``, ``bytes`` and ``rows`` of each file of a Parquet table, read where it lies."""
+    name = lambda c: F.regexp_extract(c, "[^/]+$", 0)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(name(F.col("path")).alias("artifact"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    rows = spark.read.parquet(path).select(name(F.col("_metadata.file_path")).alias("artifact")).groupBy("artifact").agg(F.count("*").alias("rows"))
+    return files.join(rows, "artifact", "left").select("artifact", "sha256", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
 def verify_manifest(root: str, entries: Sequence[dict]) -> list[str]:
     """Names of files that are missing or differ from their entries."""
     wrong = []

@@ -16,9 +16,28 @@ class ExportError(Exception):
     """No source could be read."""
 
 
-def find_exports(folder: str, pattern: str = "ChatExport_*") -> list[str]:
-    """Export folders below a folder, sorted."""
-    return sorted(glob.glob(os.path.join(folder, pattern)))
+def find_exports(folder: str, pattern: str = "ChatExport_*", spark: SparkSession | None = None) -> list[str]:
+    """Export folders below a folder, sorted; with a session in any file system that Spark reads."""
+    if spark is None:
+        return sorted(glob.glob(os.path.join(folder, pattern)))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    return sorted(s.getPath().toString() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or ())
+
+
+def _source_file(spark: SparkSession, folder: str, file: str) -> str | None:
+    """Full path of the file of a source, if there is one."""
+    jvm = spark._jvm
+    for name in (folder, f"{folder.rstrip('/')}/{file}"):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(path) and system.getFileStatus(path).isFile():
+            return system.makeQualified(path).toString()
+    return None
+
+
+def missing_sources(spark: SparkSession, folders: Sequence[str], file: str = "result.json") -> list[str]:
+    """The sources that ``read_exports`` passes over, as they can't be found."""
+    return [f for f in folders if _source_file(spark, f, file) is None]
 
 
 def _own(name: str) -> Column:
@@ -56,8 +75,8 @@ def read_exports(spark: SparkSession, folders: Sequence[str], file: str = "resul
     """
     out: DataFrame | None = None
     for k, folder in enumerate(folders, start=1):
-        path = folder if os.path.isfile(folder) else os.path.join(folder, file)
-        if not os.path.isfile(path):
+        path = _source_file(spark, folder, file)
+        if path is None:
             continue
         whole = spark.read.text(path, wholetext=True).select(F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.get_json_object("value", "$.messages")).alias("all"))
         listed = whole.select(F.posexplode(F.from_json("all", "array<string>")).alias("pos", "raw")).where(F.ltrim("raw").startswith("{"))

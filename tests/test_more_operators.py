@@ -6,7 +6,7 @@ import statistics
 import pytest
 from chatmill.functions import text as T
 from chatmill.functions.names import case_forms
-from chatmill.operators import analytics, audit, dedup, evaluation, extract, network, pseudonyms, quality, retrieval, scrub, taxonomy
+from chatmill.operators import analytics, audit, dedup, evaluation, extract, network, pseudonyms, quality, retrieval, scrub, taxonomy, threads
 from chatmill.plans import pipeline, ranks
 from chatmill.sources import contract, exports
 from chatmill.streaming import operators as S
@@ -209,3 +209,39 @@ def test_streamed_links_and_volume(spark, tmp_path):
         found[name] = spark.table(f"m_{name}").collect()
     assert [(r.msg_id, r.parent_id) for r in found["links"]] == [(2, 1)]
     assert max(r.messages for r in found["hours"]) == 2
+
+
+def test_previous_rows_across_ranges(spark):
+    r = random.Random(5)
+    rows = [(r.randint(1, 3), k, r.choice([None, 1, 2])) for k in range(500)]
+    got = ranks.with_previous(spark.createDataFrame(rows, "c long, m long, v long").repartition(7), [F.col("c"), F.col("m")], ["c", "v"]).collect()
+    want = sorted(rows, key=lambda x: x[:2])
+    before = {x: (want[k - 1] if k else (None, None, None)) for k, x in enumerate(want)}
+    assert len(got) == 500 and all((x.prev_c, x.prev_v) == (before[x.c, x.m, x.v][0], before[x.c, x.m, x.v][2]) and want[x.place] == (x.c, x.m, x.v) for x in got)
+    assert ranks.with_previous(spark.createDataFrame([], "c long, m long, v long"), [F.col("c")], ["v"]).count() == 0
+
+
+def test_positions_in_long_threads(spark, monkeypatch):
+    rows = [(1, k, 10 * k, None if k == 0 else max(0, k - 3)) for k in range(50)] + [(2, 1, 5, None)]
+    frame = spark.createDataFrame(rows, "chat_id long, msg_id long, unixtime long, reply_to_id long")
+    want = sorted(map(tuple, threads.build_threads(frame).collect()))
+    monkeypatch.setattr(threads, "THREAD_ROWS", 3)
+    assert sorted(map(tuple, threads.build_threads(frame).collect())) == want and len(want) == 51
+
+
+def test_missing_sources_and_file_manifest(spark, tmp_path):
+    (tmp_path / "ChatExport_a").mkdir()
+    (tmp_path / "ChatExport_a" / "result.json").write_text('{"messages": [{"id": 1, "text": "a"}]}', encoding="utf-8")
+    (tmp_path / "ChatExport_b").mkdir()
+    found = exports.find_exports(str(tmp_path), spark=spark)
+    assert [f.rsplit("/", 1)[1] for f in found] == ["ChatExport_a", "ChatExport_b"] and len(exports.find_exports(str(tmp_path))) == 2
+    assert [f.rsplit("/", 1)[1] for f in exports.missing_sources(spark, found)] == ["ChatExport_b"]
+    assert exports.read_exports(spark, found).count() == 1
+    with pytest.raises(exports.ExportError):
+        exports.read_exports(spark, [str(tmp_path / "none")])
+    spark.range(9).repartition(2).write.parquet(str(tmp_path / "t"))
+    listed = contract.manifest_of_table(spark, str(tmp_path / "t")).collect()
+    assert sum(r.rows for r in listed) == 9
+    assert contract.verify_manifest(str(tmp_path / "t"), [r.asDict() for r in listed]) == []
+    rows = spark.createDataFrame([(1, "a", None)], "chunk_id long, content string, other string")
+    assert contract.write_artifact(rows, "rag_knowledge_base", str(tmp_path / "rag")) == 1
