@@ -136,18 +136,45 @@ def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, p
     return made.select(*keys, F.concat_ws("/", F.element_at("_all", 1), F.element_at("_all", 2)).alias("set_key"), F.element_at("_all", 3).cast("int").alias("n"), F.slice("_all", 4, permutations).alias("signature"))
 
 
-def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> DataFrame:
-    """``left``, ``right`` of classes that agree in a band and whose sizes allow the threshold, each pair once.
+#: Classes of a bucket that are compared each with each; larger buckets are split by a further band, then compared with their least.
+PAIRED = 50
+#: Bands that follow a band, by which its large buckets are split.
+FURTHER = 8
 
-    At a similarity of 0.8 a pair agrees in none of the bands with a probability of 5e-8. A bucket is compared in blocks:
-    each class joins the classes of its band by key, with adaptive execution splitting large buckets.
+
+def _pairs(buckets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the classes (``k``, ``n``) of each ``bucket`` whose sizes allow the threshold."""
+    pairs = buckets.alias("a").join(buckets.alias("b"), "bucket").where("a.k < b.k")
+    return pairs.where(F.least("a.n", "b.n") / F.greatest("a.n", "b.n") >= threshold).select(F.col("a.k").alias("left"), F.col("b.k").alias("right"))
+
+
+def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
+    """``left``, ``right`` of classes that agree in a band, each pair once; and ``bucket``, ``k`` of buckets too large for pairs.
+
+    At a similarity of 0.8 a pair agrees in none of the bands with a probability of 5e-8. A bucket of more than PAIRED classes is
+    split by the FURTHER bands that follow its own, since a pair agrees in a dozen bands and so in two near each other; what
+    stays large then agrees in eight minima, as the variants of one template do, and is compared with its least classes only.
     """
+    spark = classes.sparkSession
+    scratch = Scratch(spark, "bands")
     rows = PERMUTATIONS // bands
-    banded = classes.select(F.col(key).alias("k"), "n", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("bucket")) for b in range(bands)])).alias("x")).select("k", "n", "x.band", "x.bucket")
-    shared = banded.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1").select("band", "bucket")
-    some = banded.join(shared, ["band", "bucket"])
-    pairs = some.alias("a").join(some.alias("b"), ["band", "bucket"]).where("a.k < b.k")
-    return pairs.where(F.least("a.n", "b.n") / F.greatest("a.n", "b.n") >= threshold).select(F.col("a.k").alias("left"), F.col("b.k").alias("right")).distinct()
+    values = F.array(*[F.xxhash64(F.slice("signature", b * rows + 1, rows)) for b in range(bands)])
+    banded = classes.select(F.col(key).alias("k"), "n", values.alias("v")).select("k", "n", F.posexplode("v").alias("band", "value"))
+    banded = scratch.save("banded", banded.select("k", "n", "band", F.xxhash64(F.col("band"), F.col("value")).alias("bucket")))
+    sizes = scratch.save("sizes", banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"))
+    cold = banded.join(sizes.where(F.col("c") <= PAIRED).select("bucket"), "bucket")
+    out = _pairs(cold.select("bucket", "k", "n"), threshold)
+    none = spark.createDataFrame([], f"bucket long, k {dict(banded.dtypes)['k']}")
+    if sizes.where(F.col("c") > PAIRED).isEmpty():
+        return out.distinct(), none
+    hot = banded.join(sizes.where(F.col("c") > PAIRED).select("bucket"), "bucket").select("k", "n", "band", "bucket")
+    near = banded.select("k", F.col("band").alias("other"), F.col("bucket").alias("second"))
+    split = hot.join(near, "k").where(F.pmod(F.col("other") - F.col("band"), F.lit(bands)).between(1, FURTHER))
+    split = scratch.save("split", split.select("k", "n", F.xxhash64(F.col("bucket"), F.col("second")).alias("bucket")))
+    sizes = split.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    marked = scratch.save("marked", split.join(sizes, "bucket"))
+    out = out.unionByName(_pairs(marked.where(F.col("c") <= PAIRED).select("bucket", "k", "n"), threshold))
+    return out.distinct(), marked.where(F.col("c") > PAIRED).select("bucket", "k")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -161,7 +188,8 @@ def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8
 
     Rows with equal sets of shingles are one class, named by its least key, so copies, however many, cost one row in a
     bucket. Min-hashes only propose pairs of classes; the shingle sets of these are compared. A row goes if it is similar
-    to an earlier row that stays; so of a chain in which only neighbours are alike, every other stays. Rows with fewer
+    to an earlier row that stays; so of a chain in which only neighbours are alike, every other stays. Not all similar pairs
+    are listed: in a large bucket rows are compared with those that stay, so a family of variants costs one comparison a row. Rows with fewer
     than ``least`` characters all stay. Decided in rounds: who has no undecided or kept earlier neighbour stays, then its
     later neighbours go. Keys must be unique; rows with a null key are left out.
     """
@@ -171,22 +199,39 @@ def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8
     first = signed.groupBy("set_key").agg(F.min(key).alias("class_key"))
     member = scratch.save("member", signed.join(first, "set_key").select(key, "class_key"))
     classes = signed.join(member.where(F.col(key) == F.col("class_key")).select(key), key, "left_semi")
-    pairs = scratch.save("pairs", candidate_pairs(classes, key, threshold))
+    found, large = candidate_pairs(classes, key, threshold)
+    pairs, large = scratch.save("pairs", found), scratch.save("large", large)
     scratch.drop("signed")
-    asked = pairs.select(F.col("left").alias(key)).union(pairs.select("right")).distinct()
+    asked = pairs.select(F.col("left").alias(key)).union(pairs.select("right")).union(large.select("k")).distinct()
     sets = scratch.save("sets", long.join(asked, key, "left_semi").select(F.col(key).alias("k"), shingle_hashes(F.col(text), size).alias("h")))
-    full = pairs.join(sets.select(F.col("k").alias("left"), F.col("h").alias("lh")), "left").join(sets.select(F.col("k").alias("right"), F.col("h").alias("rh")), "right")
-    edges = scratch.save("edges", full.where(jaccard(F.col("lh"), F.col("rh")) >= threshold).select("left", "right"))
-    scratch.drop("pairs", "sets")
-    open_ = scratch.save("open0", edges.select(F.col("left").alias("k")).union(edges.select(F.col("right"))).distinct())
+
+    def alike(some: DataFrame) -> DataFrame:
+        full = some.join(sets.select(F.col("k").alias("left"), F.col("h").alias("lh")), "left").join(sets.select(F.col("k").alias("right"), F.col("h").alias("rh")), "right")
+        return full.where(jaccard(F.col("lh"), F.col("rh")) >= threshold).select("left", "right")
+
+    edges = scratch.save("edges", alike(pairs))
+    scratch.drop("pairs")
+    has_large = not large.isEmpty()
+    open_ = scratch.save("open0", edges.select(F.col("left").alias("k")).union(edges.select(F.col("right"))).union(large.select("k")).distinct())
     gone: DataFrame | None = None
     turn = 0
     while not open_.isEmpty():
         turn += 1
         live = edges.join(open_.select(F.col("k").alias("left")), "left", "left_semi").join(open_.select(F.col("k").alias("right")), "right", "left_semi")
         live = scratch.save(f"live{turn}", live)
-        stay = open_.join(live.select(F.col("right").alias("k")).distinct(), "k", "left_anti")
-        drop = scratch.save(f"drop{turn}", live.join(stay.select(F.col("k").alias("left")), "left", "left_semi").select(F.col("right").alias("k")).distinct())
+        waits = live.select(F.col("right").alias("k"))
+        if has_large:
+            # in a large bucket all wait for the least, and are compared with it once it stays
+            here = scratch.save(f"large{turn}", large.join(open_, "k"))
+            least = here.groupBy("bucket").agg(F.min("k").alias("left"))
+            later = scratch.save(f"later{turn}", here.join(least, "bucket").where("k > left").select("left", F.col("k").alias("right")).distinct())
+            waits = waits.union(later.select("right"))
+        stay = scratch.save(f"stay{turn}", open_.join(waits.distinct(), "k", "left_anti"))
+        first = stay.select(F.col("k").alias("left"))
+        like = live.join(first, "left", "left_semi")
+        if has_large:
+            like = like.unionByName(alike(later.join(first, "left", "left_semi")))
+        drop = scratch.save(f"drop{turn}", like.select(F.col("right").alias("k")).distinct())
         open_ = scratch.save(f"open{turn}", open_.join(stay, "k", "left_anti").join(drop, "k", "left_anti"))
         gone = drop if gone is None else gone.union(drop)
     out = rows.where(F.col(key).isNotNull()).select(key).join(member, key, "left").withColumn("class_key", F.coalesce("class_key", key))

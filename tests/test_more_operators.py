@@ -85,6 +85,32 @@ def test_index(spark):
     assert dedup.against_index(asked.limit(0), "k", "t", index).count() == 0
 
 
+def greedy(rows, threshold=0.8, size=5):
+    sets, kept = {}, []
+    for k, t in sorted(rows):
+        w = t.lower().split()
+        sets[k] = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+        if all(len(sets[k] & sets[o]) / len(sets[k] | sets[o]) < threshold for o in kept):
+            kept.append(k)
+    return set(kept)
+
+
+@pytest.mark.parametrize("most", [50, 2, 1])
+def test_near_duplicates_in_large_buckets(spark, monkeypatch, most):
+    r = random.Random(most)
+    rows = []
+    for family in range(3):
+        base = [f"ф{family}с{k}" for k in range(50)]
+        for k in range(25):
+            words = list(base)
+            for _ in range(r.choice([1, 1, 2, 6, 12])):
+                words[r.randrange(50)] = f"иное{r.randrange(1000)}"
+            rows.append((family * 100 + k, " ".join(words)))
+    monkeypatch.setattr(dedup, "PAIRED", most)
+    got = dedup.near_duplicates(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
+    assert {x.k for x in got if x.kept} == greedy(rows) and len(got) == 75
+
+
 def test_signature_is_the_least_of_each_permutation(spark):
     text = "один два три четыре пять шесть семь"
     row = dedup.signatures(spark.createDataFrame([(1, text), (2, ""), (3, None)], "k long, t string"), ["k"], "t").where("k = 1").first()
