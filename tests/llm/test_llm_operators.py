@@ -506,6 +506,27 @@ def test_fragments_and_orders(spark):
         want = got
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_conversations_with_nulls(spark, seed):
+    r = random.Random(seed)
+    kind = "chat_id long, msg_id long, unixtime long, author_id_raw string, text_raw string, reply_to_id long, is_service boolean, batch_id long, ingested_at timestamp, hash long, members string, place long"
+    rows = []
+    for m in range(1, 160):
+        chat = m % 3
+        reply = r.choice([None, None, 0, m, 9999, *[max(0, m - 3 * k) for k in (1, 1, 1, 2, 2, 3)], m + 3 if m % 50 == 7 else m - 3])
+        one = (chat, m, r.choice([None, m, m, m, m]), r.choice(["a", "b", "c", None, ""]), r.choice(["t"] * 30 + [None, " ", "\u200b"]), reply, r.choice([None, False, False, False, False, m % 40 == 0]))
+        rows += [(*one, r.choice([None, 1, 2, 3])) for _ in range(r.choice([1, 1, 1, 2]))]
+    rows += [(None, 5, 1, "a", "t", None, False, 1), (1, None, 1, "a", "t", None, False, 1)]
+    r.shuffle(rows)
+    frame = spark.createDataFrame([(*x, None, 1, "x", 2) for x in rows], kind)
+    want = brute.conversations(rows)
+    for page in (8192, 7):
+        old, conversations.PAGE_ROWS = conversations.PAGE_ROWS, page
+        got = {tuple(x) for x in conversations.rebuild_conversations(frame).collect()}
+        conversations.PAGE_ROWS = old
+        assert got == want and want
+
+
 # 8. packing
 
 
