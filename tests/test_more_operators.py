@@ -255,6 +255,24 @@ def test_positions_in_long_threads(spark, monkeypatch):
     assert sorted(map(tuple, threads.build_threads(frame).collect())) == want and len(want) == 51
 
 
+@pytest.mark.parametrize("block", [3, 64, 4 << 20])
+def test_exports_are_read_as_streams(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(exports, "BLOCK_BYTES", block)
+    rows = [{"id": k, "text": f"текст {k} ] }} \" \\ 👍", "n": [1, {"a": "]"}]} for k in range(1, 60)]
+    texts = {
+        "list": json.dumps(rows), "object": "\ufeff" + json.dumps({"name": "x", "about": {"messages": [1]}, "messages": [*rows, 5, "s", None], "left": 1}, indent=1, ensure_ascii=False), "none": '{"name": "x"}',
+        "broken": json.dumps({"messages": rows})[:-40], "empty": "", "nothing": '{"messages": []}',
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text, encoding="utf-8")
+    found = {name: [json.loads(w) for v, w in got if isinstance(v, dict)] for name in ("list", "object", "none", "nothing") for got in [list(exports._Json(open(tmp_path / f"{name}.json", "rb")).messages())]}
+    assert found == {"list": rows, "object": rows, "none": [], "nothing": []}
+    sources = [str(tmp_path / f"{n}.json") for n in texts]
+    read = exports.read_exports(spark, sources).groupBy("chat_id").agg(F.count("*").alias("n"), F.max("text_raw").alias("t")).collect()
+    assert {r.chat_id: r.n for r in read} == {1001: 59, 1002: 59, 1004: 58} and all(r.t == "текст 9 ] } \" \\ 👍" for r in read)
+    assert exports.broken_sources(spark, sources) == [sources[3], sources[4]]
+
+
 def test_missing_sources_and_file_manifest(spark, tmp_path):
     (tmp_path / "ChatExport_a").mkdir()
     (tmp_path / "ChatExport_a" / "result.json").write_text('{"messages": [{"id": 1, "text": "a"}]}', encoding="utf-8")
