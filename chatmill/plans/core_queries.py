@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.operators.hierarchy import descendants, resolve_hierarchy
+from chatmill.operators.hierarchy import descendants, intervals, resolve_hierarchy
 from chatmill.operators.redelivery import deduplicate_deliveries
 from chatmill.sources.tables import path, table
 
@@ -43,7 +43,11 @@ def p5_descendants(spark: SparkSession, sf: str) -> DataFrame:
     return descendants(resolve_hierarchy(table(spark, sf, "normalized_messages"), with_path=True))
 
 
-QUERIES = {"p2_found": p2_found, "p2_unique": p2_unique, "p5_found": p5_found, "p5_paths": p5_paths, "p5_descendants": p5_descendants}
+def p5_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals(resolve_hierarchy(table(spark, sf, "normalized_messages"), with_path=True))
+
+
+QUERIES = {"p2_found": p2_found, "p2_unique": p2_unique, "p5_found": p5_found, "p5_paths": p5_paths, "p5_descendants": p5_descendants, "p5_intervals": p5_intervals}
 
 SQL = {
     "p2_found": "SELECT chat_id, msg_id FROM normalized_messages WHERE chat_id IS NOT NULL AND msg_id IS NOT NULL GROUP BY chat_id, msg_id HAVING count(*) > 1",
@@ -56,6 +60,13 @@ SQL = {
     "p5_paths": _TREE
     + """SELECT m.chat_id, m.msg_id, t.root_id, coalesce(t.depth, -1) AS depth, t.depth IS NULL AS cyclic, t.path
   FROM m LEFT JOIN t USING (chat_id, msg_id)""",
+    "p5_intervals": """
+WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(nullif(reply_to_id, 0)) AS r FROM normalized_messages GROUP BY chat_id, msg_id),
+e AS (SELECT a.chat_id, a.msg_id, a.r FROM m a JOIN m b ON a.chat_id = b.chat_id AND a.r = b.msg_id),
+t AS (SELECT m.chat_id, m.msg_id, [m.msg_id] AS path FROM m LEFT JOIN e USING (chat_id, msg_id) WHERE e.r IS NULL
+  UNION ALL SELECT e.chat_id, e.msg_id, list_append(t.path, e.msg_id) FROM t JOIN e ON e.chat_id = t.chat_id AND e.r = t.msg_id),
+n AS (SELECT chat_id, msg_id, count(*) AS n FROM (SELECT chat_id, unnest(path) AS msg_id FROM t) GROUP BY chat_id, msg_id), p AS (SELECT chat_id, msg_id, row_number() OVER (ORDER BY chat_id, path) - 1 AS enter FROM t)
+SELECT chat_id, msg_id, enter, enter + n - 1 AS leave FROM p JOIN n USING (chat_id, msg_id)""",
     "p5_descendants": """
 WITH RECURSIVE m AS (SELECT chat_id, msg_id, min(nullif(reply_to_id, 0)) AS r FROM normalized_messages GROUP BY chat_id, msg_id),
 e AS (SELECT a.chat_id, a.msg_id, a.r FROM m a JOIN m b ON a.chat_id = b.chat_id AND a.r = b.msg_id),

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from chatmill.operators import redelivery
-from chatmill.operators.hierarchy import descendants, resolve_hierarchy
+from chatmill.operators.hierarchy import descendants, intervals, resolve_hierarchy
 from pyspark.sql import functions as F
 
 SCHEMA = "chat_id long, msg_id long, reply_to_id long"
@@ -66,6 +66,16 @@ def test_clashing_names_and_descendants(spark):
     assert found == {(1, 1, 2, 1), (1, 1, 3, 2), (1, 2, 3, 1)}
 
 
+def test_intervals_hold_descendants(spark):
+    r = random.Random(9)
+    rows = [(r.randint(1, 2), m, r.choice([None, *range(1, 60)])) for m in range(1, 60)]
+    tree_ = resolve_hierarchy(spark.createDataFrame(rows, SCHEMA), with_path=True)
+    spans = {(x.chat_id, x.msg_id): (x.enter, x.leave) for x in intervals(tree_).collect()}
+    below = {tuple(x)[:3] for x in descendants(tree_).collect()}
+    found = {(c, a, d) for (c, a), (e, f) in spans.items() for (k, d), (g, _) in spans.items() if k == c and e < g <= f}
+    assert found == below and sorted(e for e, _ in spans.values()) == list(range(len(spans)))
+
+
 def _delivered(spark, rows, path, files=3):
     frame = spark.createDataFrame(rows, "chat_id long, msg_id long, batch_id long, ingested_at timestamp, text string")
     frame.repartition(files).write.parquet(path)
