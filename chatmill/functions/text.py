@@ -44,6 +44,33 @@ def token_estimate(text: Column) -> Column:
     return F.greatest(token_count(text), F.lit(1))
 
 
+def count_tokens(text: Column, ranks: str | None = None, pattern: str | None = None) -> Column:
+    """Tokens of a byte-pair vocabulary, or about as many by words; 0 for a null or empty text, else 1 at least.
+
+    ``ranks`` is a rank file that every task can read, ``pattern`` the expression that parts texts first.
+    """
+    some = F.length(F.coalesce(text, F.lit(""))) > 0
+    if ranks is None:
+        return F.when(some, token_estimate(text)).otherwise(0).cast("long")
+
+    def count(texts):
+        import base64
+
+        import tiktoken
+
+        parts = pattern
+        if parts is None:
+            import public_tokenizers
+
+            parts = public_tokenizers.PATTERN
+        with open(ranks, "rb") as f:
+            known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        encoder = tiktoken.Encoding("counted", pat_str=parts, mergeable_ranks=known, special_tokens={})
+        return texts.map(lambda t: max(1, len(encoder.encode_ordinary(t))) if t else 0)
+
+    return F.pandas_udf(count, "long")(text)
+
+
 def is_question(text: Column) -> Column:
     return F.coalesce(F.contains(text, F.lit("?")), F.lit(False))
 

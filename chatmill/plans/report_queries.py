@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatmill.functions.text import count_tokens
 from chatmill.operators import analytics, audit, drift, evaluation, extract, network, quality, scrub, taxonomy
 from chatmill.plans import pipeline
 from chatmill.plans.queries import _EDGES, _S, _THREADED, _clean, _content, _halves, _rank_sql, _stripped, _threaded, _tokens, _values, _words
@@ -29,6 +30,11 @@ def query(sql: str | None = None):
 # corpus reports
 
 
+@query(f"SELECT doc_id, CASE WHEN length(coalesce(text, '')) = 0 THEN 0 ELSE greatest(1, {_tokens('text')}) END AS tokens FROM documents")
+def p_count_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", count_tokens(F.col("text")).alias("tokens"))
+
+
 @query(
     _rank_sql(
         f"""SELECT measure, v FROM (SELECT 'characters' AS measure, length(coalesce(text_clean, '')) AS v FROM full_clean_messages UNION ALL SELECT 'words', len({_words('text_clean')}) FROM full_clean_messages

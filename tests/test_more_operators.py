@@ -289,3 +289,13 @@ def test_missing_sources_and_file_manifest(spark, tmp_path):
     assert contract.verify_manifest(str(tmp_path / "t"), [r.asDict() for r in listed]) == []
     rows = spark.createDataFrame([(1, "a", None)], "chunk_id long, content string, other string")
     assert contract.write_artifact(rows, "rag_knowledge_base", str(tmp_path / "rag")) == 1
+
+
+def test_tokens_are_counted_both_ways(spark):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    pytest.importorskip("tiktoken")
+    rows = spark.createDataFrame([("hello world",), ("",), (None,), (" ",), ("слово " * 50,)], "t string")
+    plain = [r[0] for r in rows.select(T.count_tokens(F.col("t"))).collect()]
+    assert plain == [2, 0, 0, 1, 67]
+    exact = [r[0] for r in rows.select(T.count_tokens(F.col("t"), tokenizers.path("byte_bpe_50k.tiktoken"))).collect()]
+    assert exact[:3] == [2, 0, 0] and exact[3] == 1 and exact[4] >= 50
