@@ -138,8 +138,8 @@ def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, p
 
 #: Classes of a bucket that are compared each with each; larger buckets are split by a further band, then compared with their least.
 PAIRED = 50
-#: Bands that follow a band, by which its large buckets are split.
-FURTHER = 8
+#: Bands that follow a band, by which its large buckets are split: half of all, so that any two bands meet.
+FURTHER = BANDS // 2
 
 
 def _pairs(buckets: DataFrame, threshold: float) -> DataFrame:
@@ -152,8 +152,9 @@ def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands:
     """``left``, ``right`` of classes that agree in a band, each pair once; and ``bucket``, ``k`` of buckets too large for pairs.
 
     At a similarity of 0.8 a pair agrees in none of the bands with a probability of 5e-8. A bucket of more than PAIRED classes is
-    split by the FURTHER bands that follow its own, since a pair agrees in a dozen bands and so in two near each other; what
-    stays large then agrees in eight minima, as the variants of one template do, and is compared with its least classes only.
+    split by the FURTHER bands that follow its own; a pair that agrees in large buckets only needs two bands, which it lacks
+    with a probability of 1e-6. What stays large then agrees in eight minima, as the variants of one template do, and is
+    compared with its least classes only.
     """
     spark = classes.sparkSession
     scratch = Scratch(spark, "bands")
