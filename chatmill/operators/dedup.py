@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatmill.functions.text import lower_words, normalized, onward, stripped
@@ -137,7 +137,9 @@ def signatures(rows: DataFrame, keys: Sequence[str], text: str, size: int = 5, p
 
 
 #: Classes of a bucket that are compared each with each; larger buckets are split by a further band, then compared with their least.
-PAIRED = 50
+PAIRED = 500
+#: The least classes of a large bucket that all others are compared with in a round.
+PIVOTS = 64
 #: Bands that follow a band, by which its large buckets are split: half of all, so that any two bands meet.
 FURTHER = BANDS // 2
 
@@ -149,7 +151,7 @@ def _pairs(buckets: DataFrame, threshold: float) -> DataFrame:
 
 
 def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands: int = BANDS) -> tuple[DataFrame, DataFrame]:
-    """``left``, ``right`` of classes that agree in a band, each pair once; and ``bucket``, ``k`` of buckets too large for pairs.
+    """``left``, ``right`` of classes that agree in a band, each pair once; and ``bucket``, ``k``, ``n`` of buckets too large for pairs.
 
     At a similarity of 0.8 a pair agrees in none of the bands with a probability of 5e-8. A bucket of more than PAIRED classes is
     split by the FURTHER bands that follow its own; a pair that agrees in large buckets only needs two bands, which it lacks
@@ -160,22 +162,20 @@ def candidate_pairs(classes: DataFrame, key: str, threshold: float = 0.8, bands:
     scratch = Scratch(spark, "bands")
     rows = PERMUTATIONS // bands
     values = F.array(*[F.xxhash64(F.slice("signature", b * rows + 1, rows)) for b in range(bands)])
-    banded = classes.select(F.col(key).alias("k"), "n", values.alias("v")).select("k", "n", F.posexplode("v").alias("band", "value"))
-    banded = scratch.save("banded", banded.select("k", "n", "band", F.xxhash64(F.col("band"), F.col("value")).alias("bucket")))
-    sizes = scratch.save("sizes", banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"))
-    cold = banded.join(sizes.where(F.col("c") <= PAIRED).select("bucket"), "bucket")
-    out = _pairs(cold.select("bucket", "k", "n"), threshold)
-    none = spark.createDataFrame([], f"bucket long, k {dict(banded.dtypes)['k']}")
-    if sizes.where(F.col("c") > PAIRED).isEmpty():
-        return out.distinct(), none
-    hot = banded.join(sizes.where(F.col("c") > PAIRED).select("bucket"), "bucket").select("k", "n", "band", "bucket")
-    near = banded.select("k", F.col("band").alias("other"), F.col("bucket").alias("second"))
+    named = lambda some: some.select(F.col(key).alias("k"), "n", F.posexplode(values).alias("band", "value")).select("k", "n", "band", F.xxhash64("band", "value").alias("bucket"))
+    sizes = named(classes).groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    shared = scratch.save("shared", named(classes).join(sizes, "bucket"))
+    out = _pairs(shared.where(F.col("c") <= PAIRED).select("bucket", "k", "n"), threshold)
+    hot = shared.where(F.col("c") > PAIRED).select("k", "n", "band", "bucket")
+    if hot.isEmpty():
+        return out.distinct(), hot.select("bucket", "k", "n")
+    near = named(classes.join(hot.select(F.col("k").alias(key)).distinct(), key, "left_semi")).select("k", F.col("band").alias("other"), F.col("bucket").alias("second"))
     split = hot.join(near, "k").where(F.pmod(F.col("other") - F.col("band"), F.lit(bands)).between(1, FURTHER))
-    split = scratch.save("split", split.select("k", "n", F.xxhash64(F.col("bucket"), F.col("second")).alias("bucket")))
-    sizes = split.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
-    marked = scratch.save("marked", split.join(sizes, "bucket"))
+    split = scratch.save("split", split.select("k", "n", F.xxhash64("bucket", "second").alias("bucket")))
+    marked = scratch.save("marked", split.join(split.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"), "bucket"))
+    scratch.drop("split")
     out = out.unionByName(_pairs(marked.where(F.col("c") <= PAIRED).select("bucket", "k", "n"), threshold))
-    return out.distinct(), marked.where(F.col("c") > PAIRED).select("bucket", "k")
+    return out.distinct(), marked.where(F.col("c") > PAIRED).select("bucket", "k", "n")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -216,25 +216,32 @@ def near_duplicates(rows: DataFrame, key: str, text: str, threshold: float = 0.8
     open_ = scratch.save("open0", edges.select(F.col("left").alias("k")).union(edges.select(F.col("right"))).union(large.select("k")).distinct())
     gone: DataFrame | None = None
     turn = 0
+    waiting: DataFrame | None = None
     while not open_.isEmpty():
-        turn += 1
-        live = edges.join(open_.select(F.col("k").alias("left")), "left", "left_semi").join(open_.select(F.col("k").alias("right")), "right", "left_semi")
-        live = scratch.save(f"live{turn}", live)
-        waits = live.select(F.col("right").alias("k"))
         if has_large:
-            # in a large bucket all wait for the least, and are compared with it once it stays
-            here = scratch.save(f"large{turn}", large.join(open_, "k"))
-            least = here.groupBy("bucket").agg(F.min("k").alias("left"))
-            later = scratch.save(f"later{turn}", here.join(least, "bucket").where("k > left").select("left", F.col("k").alias("right")).distinct())
-            waits = waits.union(later.select("right"))
-        stay = scratch.save(f"stay{turn}", open_.join(waits.distinct(), "k", "left_anti"))
-        first = stay.select(F.col("k").alias("left"))
-        like = live.join(first, "left", "left_semi")
-        if has_large:
-            like = like.unionByName(alike(later.join(first, "left", "left_semi")))
-        drop = scratch.save(f"drop{turn}", like.select(F.col("right").alias("k")).distinct())
-        open_ = scratch.save(f"open{turn}", open_.join(stay, "k", "left_anti").join(drop, "k", "left_anti"))
-        gone = drop if gone is None else gone.union(drop)
+            # all in a large bucket are compared with its least undecided ones, which are ready to be decided; the others wait
+            here = scratch.save(f"here{turn}", large.join(open_, "k"))
+            pivots = here.withColumn("_at", F.row_number().over(Window.partitionBy("bucket").orderBy("k"))).where(F.col("_at") <= PIVOTS).select("bucket", F.col("k").alias("left"), F.col("n").alias("m"))
+            pivots = scratch.save(f"pivots{turn}", pivots)
+            waiting = scratch.save(f"waiting{turn}", here.join(pivots.select("bucket", F.col("left").alias("k")), ["bucket", "k"], "left_anti").select("k").distinct())
+            some = here.join(pivots, "bucket").where((F.col("k") > F.col("left")) & (F.least("n", "m") / F.greatest("n", "m") >= threshold))
+            fresh = alike(some.select("left", F.col("k").alias("right")).distinct())
+            known = scratch.save(f"known{turn}", edges.unionByName(fresh))
+        else:
+            known = edges
+        while True:
+            turn += 1
+            live = known.join(open_.select(F.col("k").alias("left")), "left", "left_semi").join(open_.select(F.col("k").alias("right")), "right", "left_semi")
+            live = scratch.save(f"live{turn}", live)
+            waits = live.select(F.col("right").alias("k"))
+            stay = scratch.save(f"stay{turn}", open_.join((waits if waiting is None else waits.union(waiting)).distinct(), "k", "left_anti"))
+            if stay.isEmpty():
+                break
+            drop = scratch.save(f"drop{turn}", live.join(stay.select(F.col("k").alias("left")), "left", "left_semi").select(F.col("right").alias("k")).distinct())
+            open_ = scratch.save(f"open{turn}", open_.join(stay, "k", "left_anti").join(drop, "k", "left_anti"))
+            gone = drop if gone is None else gone.union(drop)
+            if not has_large and open_.isEmpty():
+                break
     out = rows.where(F.col(key).isNotNull()).select(key).join(member, key, "left").withColumn("class_key", F.coalesce("class_key", key))
     if gone is None:
         return out.select(key, "class_key", (F.col(key) == F.col("class_key")).alias("kept"))

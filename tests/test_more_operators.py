@@ -95,8 +95,8 @@ def greedy(rows, threshold=0.8, size=5):
     return set(kept)
 
 
-@pytest.mark.parametrize("most", [50, 2, 1])
-def test_near_duplicates_in_large_buckets(spark, monkeypatch, most):
+@pytest.mark.parametrize("most, pivots", [(500, 64), (2, 2), (1, 5)])
+def test_near_duplicates_in_large_buckets(spark, monkeypatch, most, pivots):
     r = random.Random(most)
     rows = []
     for family in range(3):
@@ -107,6 +107,7 @@ def test_near_duplicates_in_large_buckets(spark, monkeypatch, most):
                 words[r.randrange(50)] = f"иное{r.randrange(1000)}"
             rows.append((family * 100 + k, " ".join(words)))
     monkeypatch.setattr(dedup, "PAIRED", most)
+    monkeypatch.setattr(dedup, "PIVOTS", pivots)
     got = dedup.near_duplicates(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
     assert {x.k for x in got if x.kept} == greedy(rows) and len(got) == 75
 
