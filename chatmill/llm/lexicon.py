@@ -220,9 +220,9 @@ def training_sentences(count: int, seed: int, leave_out: tuple[str, ...] = (), o
 
     around = {
         "NAME": ["кто помнит, где {}?", "передайте привет: {}", "Контакт: {}.", "список ведёт {}", "{} обещает ответить к 5 числу", "It was {} who reviewed it", "{}", "{}", "{}", "{}", "{} | ищу проект", "{} ✨", "созвонились с {} насчёт сборки", "отдал ключи {}", "по документам там {}, а не Тарлин", "{} — наш человек в проекте", "спасибо {} за помощь", "работал вместе с {}", "скиньте фото, кому — {}", "ask {} about it", "{} написала вчера", "звонил {}, просил ответить", "Привет, {}!", "с уважением, {}"],
-        "PHONE": ["если горит — {}", "мой номер {}", "вотсап {}, пишите там", "call {} if urgent", "{} звонить днём", "старый {} не работает", "Телефон для связи: {}, спросить", "{}", "ring me: {}, evenings only", "Звоните {} после 18 часов", "набери {}", "тел. {}"],
+        "PHONE": ["если горит — {}", "мой номер {}", "вотсап {}, пишите там", "call {} if urgent", "{} звонить днём", "старый {} не работает", "Телефон для связи: {}, спросить", "{}", "ring me: {}, evenings only", "Звоните {} после 18 часов", "набери {}", "тел. {}", "пишите если что {}", "старый {} не работает, ну да, похоже на то"],
         "EMAIL": ["пишите на {}, отвечу", "моя почта {} если что", "contact me at {} please", "{}", "дубль отправил {}, проверьте спам", "файл жду на {} до 11 числа", "пришло от <{}> в 10:10", "({}) — это рабочая", "cc: {}", "Кидайте сюда: {}", "подписка оформлена на {}"],
-        "ADDRESS": ["встреча — {}, домофон сломан", "живу тут: {}", "ship it to {}", "{}", "забирайте по адресу {}, до 15:00", "офис переехал, {}", "офис переехал, теперь {}", "Доставка: {}.", "находимся {}, вход со двора", "документы ждут: {}", "the parcel goes to {}", "встречаемся на {}"],
+        "ADDRESS": ["встреча — {}, домофон сломан", "живу тут: {}", "ship it to {}", "{}", "забирайте по адресу {}, до 15:00", "офис переехал, {}", "офис переехал, теперь {}", "Доставка: {}.", "находимся {}, вход со двора", "документы ждут: {}", "the parcel goes to {}", "встречаемся на {}", "{} принимал работу курьер", "{} как лучше доехать", "that works. {} после обеда"],
         "ID_NUMBER": ["вот данные, {}, хватит?", "{} — проверьте у себя", "my {}, please keep it private", "{}", "Данные: {}", "в анкете {}, подпись стоит", "скинул {}, больше ничего нет", "в заявке указано {}, всё верно?", "please verify {}"],
     }
     makers = {"NAME": name, "PHONE": phone, "EMAIL": mail, "ADDRESS": address, "ID_NUMBER": number}
@@ -252,7 +252,7 @@ def training_sentences(count: int, seed: int, leave_out: tuple[str, ...] = (), o
         words = [r.choice([*r.choice([common, usual]), *([made(3), made(3).capitalize(), to_latin(made(2)).capitalize()] if r.random() < 0.3 else [])]) for _ in range(r.randint(2, 14))]
         return r.choice([
             " ".join(words), " ".join(words).capitalize() + r.choice([".", "?", "", "!"]), f"{r.choice(signs)} {' '.join(words)}", f"{r.choice(signs)} {r.choice(signs)} {words[0]}", f"{r.choice(signs)} {r.choice(signs)}", f"{r.choice(words)} на {r.choice(['три', 'шесть', 'семь'])} {r.choice(words)}, {r.choice(words)}",
-            f"```\n{x}_{y} = load({num(r.choice([1, 2, 4]))})\n```", f"{x}_{y} = {y}_{x}[{num(1)}]\n    {x}_{y} = load({num(3)})\n", f"if {x}.size > {num(3)}:\n    {y}.{x}({num(2)})", f"# {x} {y}\n# {x} {to_latin(made(3))}\n", f"return {x}[{num(2)}]\n", f"---\n{' '.join(words)}\n---", f"{r.choice('СВКОУЯИА')} {made(3)}{r.choice(['ого', 'ого', 'ая', 'ых', 'ой'])} {' '.join(words)}", f"{r.choice('СВКОУЯИ')} {' '.join(words)}", f"{r.choice('AI')} {' '.join(words)}", f"{' '.join(words)}. {r.choice('СВКОУЯИA')} {made(3)}{r.choice(['а', 'ого', 'ников', ''])} {words[0]}", f"{r.choice(['раз)', 'случай номер 54', 'часов)', words[0]])}. @{y}_{num(2)} уже ответил", f"@{x}_{num(1)} {words[0]}", f"({words[0]}) @{x}", f"+{num(r.choice([1, 3, 6]))} @{x}_{num(2)} {words[0]}", f"+{num(r.choice([2, 4, 6, 7]))} {words[0]}", f"{num(1)}. {r.choice('🌿✨🙈🚀')} @{x}_{num(2)} уже", f"переехали из города {r.choice(RUSSIAN_MEN)} в {made(3).capitalize()}", f"in project {made(3).capitalize()}{r.choice('?.')} A {' '.join(words)}", f"{words[0]}, а {made(3)}ой {words[0]}", f"совет от {made(4).capitalize()}. {r.choice(['Шаг', 'Step', 'Пункт'])} {num(3)}: {words[0]}", f"ветке {made(4).capitalize()}. На улице минус {num(1)}", f"ветке {made(4).capitalize()}. на улице минус {num(1)}", f"{r.choice(RUSSIAN_MEN + RUSSIAN_WOMEN)}. {' '.join(words)}", f"see the {x.capitalize()} notes. A {' '.join(words)}", f"- {words[0]}\n- {' '.join(words)}\n",
+            f"```\n{x}_{y} = load({num(r.choice([1, 2, 4]))})\n```", f"{x}_{y} = {y}_{x}[{num(1)}]\n    {x}_{y} = load({num(3)})\n", f"if {x}.size > {num(3)}:\n    {y}.{x}({num(2)})", f"# {x} {y}\n# {x} {to_latin(made(3))}\n", f"return {x}[{num(2)}]\n", f"---\n{' '.join(words)}\n---", f"{r.choice('СВКОУЯИА')} {made(3)}{r.choice(['ого', 'ого', 'ая', 'ых', 'ой'])} {' '.join(words)}", f"{r.choice('СВКОУЯИ')} {' '.join(words)}", f"{r.choice('AI')} {' '.join(words)}", f"{' '.join(words)}. {r.choice('СВКОУЯИA')} {made(3)}{r.choice(['а', 'ого', 'ников', ''])} {words[0]}", f"{r.choice(['раз)', 'случай номер 54', 'часов)', words[0]])}. @{y}_{num(2)} уже ответил", f"@{x}_{num(1)} {words[0]}", f"({words[0]}) @{x}", f"{words[0]}-{y}? @{x}_{num(2)} уже ответил", f"{words[0]}{r.choice('.?!')} @{x}_{num(r.choice([1, 2, 4]))} уже ответил", f"{num(3)} of {num(4)} points remain", f"({num(3)} of {num(4)} points remain)", f"случай номер {num(3)}. Шаг {num(4)}: {words[0]}", f"the {x.capitalize()} variant failed too. {r.choice(RUSSIAN_WOMEN)} в {made(2)}, попытка {num(2)}", f"{words[0]} every {num(3)} minutes. Our {words[0]}", f"+{num(r.choice([1, 3, 6]))} @{x}_{num(2)} {words[0]}", f"+{num(r.choice([2, 4, 6, 7]))} {words[0]}", f"{num(1)}. {r.choice('🌿✨🙈🚀')} @{x}_{num(2)} уже", f"переехали из города {r.choice(RUSSIAN_MEN)} в {made(3).capitalize()}", f"in project {made(3).capitalize()}{r.choice('?.')} A {' '.join(words)}", f"{words[0]}, а {made(3)}ой {words[0]}", f"совет от {made(4).capitalize()}. {r.choice(['Шаг', 'Step', 'Пункт'])} {num(3)}: {words[0]}", f"ветке {made(4).capitalize()}. На улице минус {num(1)}", f"ветке {made(4).capitalize()}. на улице минус {num(1)}", f"{r.choice(RUSSIAN_MEN + RUSSIAN_WOMEN)}. {' '.join(words)}", f"see the {x.capitalize()} notes. A {' '.join(words)}", f"- {words[0]}\n- {' '.join(words)}\n",
             "".join(r.choice("abcdefghkmnpqrstuvwxyz0123456789") for _ in range(r.randint(20, 90))), "".join(r.choice("0123456789abcdef") for _ in range(r.choice([32, 40, 64]))), f"{x}-{y}-{num(2)}", f"{x}.{y}.{x}", f"{x}@{y}", f"{y}/{x}:{num(1)}.{num(1)}", f"{made(2)}-{made(2)} {made(3)}",
         ])
 
